@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash_dedup
+from . import packing, simhash_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +15,22 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_dedup,)}
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file; it is read where it lies, never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op7_curve_packing, op10_token_counts)}
 
 #: Queries that SQL can express over whole tables; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {}
