@@ -105,13 +105,13 @@ def blocks(at: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def words(column: pa.Array, lower: bool = True, size: int = BLOCK) -> Iterator[Words]:
-    """The column's words, block by block; ``lower`` folds A-Z."""
+def words(column: pa.Array, lower: bool = True, size: int = BLOCK, table: np.ndarray = _WORD) -> Iterator[Words]:
+    """The column's words (runs of the bytes in ``table``), block by block; ``lower`` folds A-Z."""
     data, at = texts(column)
     for i, j in blocks(at, size):
         block = data[at[i] : at[j]]
         edge = at[i : j + 1] - at[i]
-        inside = _WORD[block]
+        inside = table[block]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -239,3 +239,46 @@ def bit_counts(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
             else:
                 np.add.at(out[:, 16 * lane + k], owner, bits)
     return out
+
+
+def byte_class(members: str) -> np.ndarray:
+    """Table of 256 flags for the ASCII characters in ``members``."""
+    table = np.zeros(256, bool)
+    table[list(members.encode("ascii"))] = True
+    return table
+
+
+def longest_runs(column: pa.Array, table: np.ndarray) -> np.ndarray:
+    """Length of each text's longest run of bytes of a class."""
+    data, at = texts(column)
+    out = np.zeros(len(at) - 1, np.int64)
+    for i, j in blocks(at):
+        block = data[at[i] : at[j]]
+        if not len(block):
+            continue
+        edge = at[i : j + 1] - at[i]
+        inside = table[block]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        cuts = edge[1:-1]
+        cuts = cuts[cuts < len(block)]
+        first[cuts] = inside[cuts]
+        stop = ~inside
+        stop[cuts] = True
+        start = np.flatnonzero(first)
+        if not len(start):
+            continue
+        stops = np.append(np.flatnonzero(stop), len(block))
+        size = stops[np.searchsorted(stops, start, "right")] - start
+        np.maximum.at(out, i + np.searchsorted(edge, start, "right") - 1, size)
+    return out
+
+
+def counts(column: pa.Array, table: np.ndarray) -> np.ndarray:
+    """How many bytes of each text are in a class."""
+    data, at = texts(column)
+    out = np.zeros(len(at) - 1, np.int64)
+    for i, j in blocks(at):
+        total = np.concatenate([[0], np.cumsum(table[data[at[i] : at[j]]])])
+        out[i:j] = total[at[i + 1 : j + 1] - at[i]] - total[at[i:j] - at[i]]
+    return out

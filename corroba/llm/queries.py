@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash_dedup, token_counts
+from . import packing, pii, secret_scan, simhash_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,15 +22,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op7_curve_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op5_pii_spans, op7_curve_packing, op8_secret_spans, op10_token_counts)}
 
 #: Queries that SQL can express over whole tables; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {}
