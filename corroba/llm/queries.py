@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, secret_scan, simhash_dedup, token_counts
+from . import packing, pii, quality_rules, secret_scan, simhash_dedup, slot_sharding, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
 
+def op6_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slot_sharding.shard(_table(spark, sf_dir, "documents"))
+
+
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -34,11 +38,15 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op5_pii_spans, op7_curve_packing, op8_secret_spans, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op5_pii_spans, op6_slot_sharding, op7_curve_packing, op8_secret_spans, op9_quality_rules, op10_token_counts)}
 
 #: Queries that SQL can express over whole tables; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {}
