@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, quality_rules, secret_scan, simhash_dedup, slot_sharding, token_counts
+from . import packing, pii, quality_classifier, quality_rules, secret_scan, simhash_dedup, slot_sharding, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op5_pii_spans, op6_slot_sharding, op7_curve_packing, op8_secret_spans, op9_quality_rules, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op4_quality_classifier, op5_pii_spans, op6_slot_sharding, op7_curve_packing, op8_secret_spans, op9_quality_rules, op10_token_counts)}
 
 #: Queries that SQL can express over whole tables; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {}
