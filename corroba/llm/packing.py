@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._frames import map_arrow, written
+from ._pieces import Encoder
 
 LENGTH = 2048
 CLOSING_ID = 1
@@ -38,35 +39,6 @@ DIMENSIONS = 4
 BITS = 12
 BLOCK_DOCS = 4096
 OPEN = 512
-CACHE = 400_000
-
-
-class Encoder:
-    """Ids (little-endian 32-bit) of texts under a byte-level ``.json`` vocabulary, by remembered pieces."""
-
-    def __init__(self, path: str):
-        import json
-
-        import public_tokenizers
-        import regex
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        pattern = public_tokenizers.PATTERN.replace(r"(?!\S)", r"(?!\P{White_Space})").replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
-        self.find = regex.compile(pattern).findall
-        with open(path, encoding="utf-8") as f:
-            self.special = [x["content"] for x in json.load(f)["added_tokens"]]
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = [None if any(x in t for x in self.special) else self.find(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = list({p for pieces in found if pieces for p in pieces if p not in known})
-        for piece, got in zip(new, self.whole.encode_batch(new, add_special_tokens=False), strict=True):
-            known[piece] = np.array(got.ids, "<u4").tobytes()
-        return [np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if pieces is None else b"".join(map(known.__getitem__, pieces)) for t, pieces in zip(texts, found, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -140,8 +112,9 @@ def encoded(docs: DataFrame, path: str, id: str, text: str, length: int) -> Data
             for i, j in T.blocks(at):
                 part = batch.slice(i, j - i)
                 tokens, full, rest = [], [], []
-                for ids in tool.encode([x or "" for x in part.column(1).to_pylist()]):
-                    ids += CLOSING_ID.to_bytes(4, "little")
+                every, bounds = tool.encode([x or "" for x in part.column(1).to_pylist()])
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    ids = every[a:b].astype("<u4").tobytes() + CLOSING_ID.to_bytes(4, "little")
                     n = len(ids) // 4
                     tokens.append(n)
                     full.append([zlib.crc32(ids[4 * length * k : 4 * length * (k + 1)]) for k in range(n // length)])
