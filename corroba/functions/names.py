@@ -63,9 +63,9 @@ def looks_like_non_entity(c: Column) -> Column:
 
 def normalize_name(c: Column, suffixes: Iterable[str] = config.NAME_SUFFIXES) -> Column:
     """Suffixes off in list order, one pass; ``LAST, FIRST`` flipped at the first comma; parentheses off."""
-    s = strip(F.coalesce(c, F.lit("")))
-    for suffix in suffixes:
-        s = F.regexp_replace(s, _U + r"\s*" + _lit([suffix]) + r"\z", "")
+    # the first suffix of the list is the last one standing; each may be there once
+    chain = "".join(rf"(?:\s*{_lit([x])})?" for x in reversed(tuple(suffixes)))
+    s = F.regexp_replace(strip(F.coalesce(c, F.lit(""))), _U + chain + r"\z", "")
     s = F.regexp_replace(s, r"(?U)(?s)^([^,]*[^,\s])\s*,\s*(\S.*?)\s*\z", "$2 $1")
     return squeeze(F.regexp_replace(s, _U + r"\s*\([^)]*\)\s*", " "))
 

@@ -149,7 +149,7 @@ def _resolve_round(ready: DataFrame, registry: DataFrame, prefix: str, cutoff: f
     best = scored.groupBy("key").agg(F.max_by(F.struct("score", "id"), F.struct(F.col("score"), -F.col("id.seq"), -F.col("id.pos"))).alias("m")).join(left.select("key", "size"), "key")
     fuzzy = best.where((F.col("size") > config.SHORT_NAME) | (F.col("m.score") >= config.SHORT_CUTOFF)).select("key", F.col("m.id.canonical_id").alias("canonical_id"), F.lit("fuzzy").alias("match_method"), (F.col("m.score") / 100).alias("match_confidence"))
     found = gate.join(direct.unionByName(fuzzy), "key", "left")
-    own = F.concat(F.lit(f"{prefix}-"), F.when(F.length(F.col("key").cast("string")) < 5, F.lpad(F.col("key").cast("string"), 5, "0")).otherwise(F.col("key").cast("string")))
+    own = entity_id(F.col("key"), prefix)
     method = F.coalesce("match_method", "gate", F.lit("new_entity"))
     return found.select("key", "name", F.when(method == "new_entity", own).otherwise(F.col("canonical_id")).alias("canonical_id"), method.alias("match_method"), F.when(method == "new_entity", 1.0).otherwise(F.coalesce("match_confidence", F.lit(0.0))).alias("match_confidence"))
 
@@ -163,10 +163,10 @@ def merge_aliases(entities: DataFrame, added: DataFrame) -> DataFrame:
     return entities.join(more, "canonical_id", "left").withColumn("aliases", fresh).select(*entities.columns)
 
 
-def next_ids(rows: DataFrame, order: list[str], taken: int, prefix: str) -> DataFrame:
-    """``rows`` with ``canonical_id`` numbered after ``taken`` in a total order.
+def numbered(rows: DataFrame, order: list[str], taken: int, column: str) -> DataFrame:
+    """``rows`` with ``column`` counting from ``taken`` + 1 in a total order.
 
-    Row numbers are a running count over range partitions, so no task holds all rows.
+    A running count over range partitions, so no task holds all rows.
     """
     from pyspark.sql import Window
 
@@ -174,6 +174,15 @@ def next_ids(rows: DataFrame, order: list[str], taken: int, prefix: str) -> Data
     within = spread.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
     sizes = within.groupBy("__part").agg(F.max("__n").alias("__size"))  # a row per partition
     before = sizes.select("__part", (F.sum("__size").over(Window.orderBy("__part")) - F.col("__size")).alias("__before"))
-    number = F.col("__n") + F.col("__before") + taken
-    text = F.when(number < 100_000, F.lpad(number.cast("string"), 5, "0")).otherwise(number.cast("string"))
-    return within.join(F.broadcast(before), "__part").withColumn("canonical_id", F.concat(F.lit(f"{prefix}-"), text)).drop("__part", "__n", "__before")
+    return within.join(F.broadcast(before), "__part").withColumn(column, F.col("__n") + F.col("__before") + taken).drop("__part", "__n", "__before")
+
+
+def entity_id(number: Column, prefix: str) -> Column:
+    """PREFIX-00042; numbers beyond five digits stay whole."""
+    text = number.cast("string")
+    return F.concat(F.lit(f"{prefix}-"), F.when(number < 100_000, F.lpad(text, 5, "0")).otherwise(text))
+
+
+def next_ids(rows: DataFrame, order: list[str], taken: int, prefix: str) -> DataFrame:
+    """``rows`` with ``canonical_id`` numbered after ``taken`` in a total order."""
+    return numbered(rows, order, taken, "__number").withColumn("canonical_id", entity_id(F.col("__number"), prefix)).drop("__number")
