@@ -1,0 +1,59 @@
+"""The corpus pipeline, stage by stage, on a small corpus with known cases."""
+
+import random
+
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+from corroba.llm import queries
+
+R = random.Random(11)
+WORDS = ["".join(R.choice("abcdefghij") for _ in range(R.randint(2, 8))) for _ in range(600)]
+
+
+def prose(n, seed):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    out = tmp_path_factory.mktemp("sf")
+    item = prose(30, 9000)
+    docs = [(i, prose(150, i)) for i in range(200)]
+    docs += [(200 + i, " ".join(f"{w}###" for w in prose(150, 300 + i).split())) for i in range(60)]
+    docs += [(300, prose(150, 5)), (301, prose(150, 5).replace(" ", "\n", 3)), (302, f"{prose(60, 1)} {item} {prose(60, 2)}"), (303, f"{prose(80, 3)} joe@mail.example.com {prose(80, 4)}"), (304, None), (305, prose(5000, 7))]
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{out}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 200), 0) for i in range(260)], "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    return str(out)
+
+
+def test_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns, name
+        kept.append({r.doc_id: r for r in docs.collect()})
+    accepted, single, clean, redacted = kept
+    assert not set(range(200, 260)) & set(accepted) and set(range(200)) <= set(accepted)
+    assert 5 in single and not {300, 301} & set(single)
+    assert set(single) - set(clean) == {302}
+    assert set(redacted) == set(clean) and "joe@" not in redacted[303].text and "[EMAIL]" in redacted[303].text
+    assert redacted[303].n_chars == len(redacted[303].text)
+    assert {i: r.text for i, r in redacted.items() if i != 303} == {i: r.text for i, r in clean.items() if i != 303}
+
+
+def test_run(spark, folder):
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in got} >= set(range(200)) - {5} and not {r.doc_id for r in got} & {*range(200, 260), 300, 301, 302}
+    assert all(0 < r.length <= 2048 for r in got)
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    names = __spark_entry__.queries()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and len(queries.QUERIES) == 10 and len(corpus_pipeline.STAGES) == 5
