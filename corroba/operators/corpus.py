@@ -29,10 +29,12 @@ def phrase_hits(pages: DataFrame, terms: DataFrame, max_words: int = MAX_WORDS)
     position carries only the few tokens after it.
     """
     phrases = terms.select("term").distinct().withColumn("t", tokens(F.col("term"))).where(F.size("t") > 0).where(F.size("t") <= max_words)
-    phrases = phrases.select("term", F.get("t", F.lit(0)).alias("first"), F.concat(F.array_join("t", " "), F.lit(" ")).alias("phrase"))
+    phrases = phrases.select("term", F.size("t").alias("size"), F.get("t", F.lit(0)).alias("first"), F.concat(F.array_join("t", " "), F.lit(" ")).alias("phrase"))
     firsts = phrases.select("first").distinct()
-    split = pages.select("page", "doc", tokens(F.col("text")).alias("t"))
-    windows = split.select("page", "doc", F.explode(F.transform("t", lambda x, i: F.struct(x.alias("first"), F.concat(F.array_join(F.slice(F.col("t"), i + 1, F.lit(max_words)), " "), F.lit(" ")).alias("window")))).alias("w")).select("page", "doc", "w.first", "w.window")
+    longest = phrases.agg(F.coalesce(F.max("size"), F.lit(1)).alias("longest"))  # one row
+    split = pages.select("page", "doc", tokens(F.col("text")).alias("t")).crossJoin(F.broadcast(longest))
+    window = lambda x, i: F.struct(x.alias("first"), F.concat(F.array_join(F.slice(F.col("t"), i + 1, F.col("longest")), " "), F.lit(" ")).alias("window"))
+    windows = split.select("page", "doc", F.explode(F.transform("t", window)).alias("w")).select("page", "doc", "w.first", "w.window")
     return windows.join(firsts, "first", "left_semi").join(phrases, "first").where(F.startswith("window", "phrase")).select("page", "doc", "term").distinct()
 
 

@@ -90,68 +90,64 @@ def resolve(probes: DataFrame, registry: DataFrame, cutoff: float = config.FUZZY
     return gate.join(found, "key", "left").select("key", "name", "canonical_id", F.coalesce("match_method", "gate", F.lit("no_match")).alias("match_method"), F.coalesce("match_confidence", F.lit(0.0)).alias("match_confidence"))
 
 
-def dependencies(probes: DataFrame, cutoff: float = config.FUZZY_CUTOFF) -> DataFrame:
-    """(key, on): earlier probes that may decide a later one: an equal form, of the name or a variant, or a similar name.
+def resolve_in_order(probes: DataFrame, registry: DataFrame, materialise, prefix: str = "PER", cutoff: float = config.FUZZY_CUTOFF, max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+    """Sequential semantics in rounds: a name that matches nothing founds an entity that later names can match.
 
-    ``probes`` has (key, name, variants), in the order of ``key``.
+    ``probes`` has (key, name, variants), in the order of ``key``; ``registry`` entries have ``seq`` below every key.
+    Every name and variant is an entry at its place in the order. Which earlier entries a name could match, by an equal
+    form or a ratio that reaches the cutoff, does not depend on any outcome, so it is computed once; a name waits for the
+    probes among them. A round then only looks up which entities those entries belong to by now. Returns the
+    resolutions and those that founded entities. ``materialise`` writes a frame and returns it read again.
     """
-    every = probes.select("key", F.explode(F.concat(F.array("name"), F.coalesce("variants", F.array().cast("array<string>")))).alias("v"))
-    form = every.select("key", F.explode(forms(F.col("v"))).alias("form")).where("form <> ''").distinct()
-    own = probes.select("key", F.explode(forms(F.col("name"))).alias("form")).where("form <> ''").distinct()
-    equal = own.join(form.withColumnRenamed("key", "on"), "form").where("on < key").select("key", "on")
-    sorted_ = lambda c: similarity.token_sort(names.normalize_name(F.col(c)))
-    near = similar_candidates(probes.select("key", sorted_("name").alias("a")), every.select(F.col("key").alias("id"), sorted_("v").alias("b")), cutoff).where("id < key").select("key", F.col("id").alias("on"))
-    return equal.unionByName(near).distinct()
-
+    none = F.array().cast("array<string>")
+    probes = materialise(probes.select(F.col("key").cast("long").alias("key"), "name", F.coalesce("variants", none).alias("variants")))
+    registry = materialise(registry.select(F.col("seq").cast("long").alias("seq"), "canonical_id", "canonical_name", F.coalesce("aliases", none).alias("aliases")))
+    entries = registry.select("seq", F.posexplode(F.concat(F.array("canonical_name"), "aliases")).alias("pos", "entry")).unionByName(probes.select(F.col("key").alias("seq"), F.posexplode(F.concat(F.array("name"), "variants")).alias("pos", "entry")))
+    entries = materialise(entries.where("entry is not null").select("seq", "pos", forms(F.col("entry")).alias("forms"), similarity.token_sort(names.normalize_name(F.col("entry"))).alias("sorted")))
+    blank = names.strip(F.coalesce("name", F.lit(""))) == ""
+    gate = materialise(probes.select("key", "name", F.when(blank, "no_match").when(names.is_noise_name(F.col("name")), "noise").alias("gate"), names.is_numbered_reference(F.col("name")).alias("numbered"), F.length(names.normalize_name(F.col("name"))).alias("size")))
+    told = gate.where("gate is null").select("key").join(entries.where("pos = 0").withColumnRenamed("seq", "key"), "key")
 
-def resolve_in_order(probes: DataFrame, registry: DataFrame, materialise, prefix: str = "PER", first_id: int = 1, cutoff: float = config.FUZZY_CUTOFF, max_rounds: int = 50) -> tuple[DataFrame, DataFrame]:
-    """Sequential semantics in rounds: a name that matches nothing founds an entity that later names can match.
+    own = told.select("key", F.posexplode("forms").alias("place", "form"))
+    equal = materialise(own.join(entries.select("seq", "pos", F.explode("forms").alias("form")), "form").where("form <> '' and seq < key").select("key", "place", "form", "seq", "pos").distinct())
+    left = told.join(gate.where("not numbered").select("key"), "key", "left_semi").select("key", F.col("sorted").alias("a"))
+    near = similar_candidates(left, entries.select(F.struct("seq", "pos").alias("id"), F.col("sorted").alias("b")), cutoff).where("id.seq < key")
+    near = materialise(near.select("key", "id.seq", "id.pos", similarity.sorted_ratio("a", "b").alias("score")).where(F.col("score") >= cutoff))
+    waits = equal.select("key", F.col("seq").alias("on")).unionByName(near.select("key", F.col("seq").alias("on"))).distinct()
+    waits = materialise(waits.join(probes.select(F.col("key").alias("on")), "on", "left_semi"))
 
-    A name is resolved once all it depends on are; it sees only entries of earlier names. ``registry`` entries
-    have ``seq`` below every key. Returns the resolutions and the entities founded. ``materialise`` writes a
-    frame and returns it read again.
-    """
-    probes = materialise(probes.select("key", "name", "variants"))
-    waits = materialise(dependencies(probes, cutoff))
     done: DataFrame | None = None
-    registry = registry.select("canonical_id", "canonical_name", "aliases", F.col("seq").cast("long").alias("seq"))
     for _ in range(max_rounds):
-        open_ = probes if done is None else probes.join(done.select("key"), "key", "left_anti")
-        ready = open_.join(waits.join(open_.select(F.col("key").alias("on")), "on", "left_semi"), "key", "left_anti")
-        ready = materialise(ready)
+        open_ = gate if done is None else gate.join(done.select("key"), "key", "left_anti")
+        ready = materialise(open_.join(waits.join(open_.select(F.col("key").alias("on")), "on", "left_semi"), "key", "left_anti"))
         if not ready.head(1):
             break
-        got = materialise(_resolve_round(ready, registry, prefix, cutoff))
-        new = got.where("match_method = 'new_entity'").join(ready.select("key", "variants"), "key").select("canonical_id", F.col("name").alias("canonical_name"), F.col("variants").alias("aliases"), F.col("key").alias("seq"))
-        more = got.where("match_method in ('exact', 'alias', 'fuzzy')").join(ready.select("key", "variants"), "key").select("canonical_id", F.col("name").alias("canonical_name"), F.col("variants").alias("aliases"), F.col("key").alias("seq"))
-        registry = materialise(registry.unionByName(new).unionByName(more))
-        done = got if done is None else materialise(done.unionByName(got))
-    result = done if done is not None else probes.select("key", "name").where("false")
-    founded = result.where("match_method = 'new_entity'")
-    return result, founded
-
-
-def _resolve_round(ready: DataFrame, registry: DataFrame, prefix: str, cutoff: float) -> DataFrame:
-    """Resolutions of names that no longer wait; each sees entries with a smaller ``seq`` than its key."""
-    every = registry.select("canonical_id", "seq", F.posexplode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("pos", "entry"))
-    main = registry.groupBy("canonical_id").agg(F.min_by(F.lower("canonical_name"), "seq").alias("canonical_form"))
-    blank = names.strip(F.coalesce("name", F.lit(""))) == ""
-    gate = ready.select("key", "name", F.when(blank, "no_match").when(names.is_noise_name(F.col("name")), "noise").alias("gate"))
-    open_ = gate.where("gate is null")
-    told = open_.select("key", F.posexplode(forms(F.col("name"))).alias("place", "form"))
-    index = every.select("canonical_id", "seq", "pos", F.explode(forms(F.col("entry"))).alias("form"))
-    hit = told.join(index, "form").where("seq < key").groupBy("key", "place", "form").agg(F.max_by("canonical_id", F.struct("seq", "pos")).alias("canonical_id")).join(main, "canonical_id")
-    direct = hit.groupBy("key").agg(F.min_by(F.struct("canonical_id", (F.col("form") == F.col("canonical_form")).alias("same")), "place").alias("m")).select("key", F.col("m.canonical_id").alias("canonical_id"), F.when(F.col("m.same"), "exact").otherwise("alias").alias("match_method"), F.when(F.col("m.same"), 1.0).otherwise(0.95).alias("match_confidence"))
-    rest = open_.join(direct, "key", "left_anti").where(~names.is_numbered_reference(F.col("name")))
-    left = rest.select("key", names.normalize_name(F.col("name")).alias("n")).select("key", F.length("n").alias("size"), similarity.token_sort(F.col("n")).alias("a"))
-    right = every.select(F.struct("seq", "pos", "canonical_id").alias("id"), similarity.token_sort(names.normalize_name(F.col("entry"))).alias("b"))
-    scored = similar_candidates(left.select("key", "a"), right, cutoff).where("id.seq < key").withColumn("score", similarity.sorted_ratio("a", "b")).where(F.col("score") >= cutoff)
-    best = scored.groupBy("key").agg(F.max_by(F.struct("score", "id"), F.struct(F.col("score"), -F.col("id.seq"), -F.col("id.pos"))).alias("m")).join(left.select("key", "size"), "key")
-    fuzzy = best.where((F.col("size") > config.SHORT_NAME) | (F.col("m.score") >= config.SHORT_CUTOFF)).select("key", F.col("m.id.canonical_id").alias("canonical_id"), F.lit("fuzzy").alias("match_method"), (F.col("m.score") / 100).alias("match_confidence"))
-    found = gate.join(direct.unionByName(fuzzy), "key", "left")
-    own = entity_id(F.col("key"), prefix)
-    method = F.coalesce("match_method", "gate", F.lit("new_entity"))
-    return found.select("key", "name", F.when(method == "new_entity", own).otherwise(F.col("canonical_id")).alias("canonical_id"), method.alias("match_method"), F.when(method == "new_entity", 1.0).otherwise(F.coalesce("match_confidence", F.lit(0.0))).alias("match_confidence"))
+        got = _resolve_round(ready, equal, near, registry, done, prefix)
+        done = materialise(got if done is None else done.unionByName(got))
+    else:
+        raise RuntimeError(f"names still wait after {max_rounds} rounds")
+    result = done if done is not None else _resolve_round(gate.where("false"), equal, near, registry, None, prefix)
+    return result, result.where("match_method = 'new_entity'")
+
+
+def _resolve_round(ready: DataFrame, equal: DataFrame, near: DataFrame, registry: DataFrame, done: DataFrame | None, prefix: str) -> DataFrame:
+    """Resolutions of names that no longer wait, from the entities that earlier entries belong to."""
+    owners = registry.select("seq", "canonical_id")
+    mains = registry.groupBy("canonical_id").agg(F.min_by(F.lower("canonical_name"), "seq").alias("main"))
+    if done is not None:
+        owners = owners.unionByName(done.where("canonical_id is not null").select(F.col("key").alias("seq"), "canonical_id"))
+        mains = mains.unionByName(done.where("match_method = 'new_entity'").select("canonical_id", F.lower("name").alias("main")))
+    keys = ready.select("key")
+    hit = equal.join(keys, "key", "left_semi").join(owners, "seq").groupBy("key").agg(F.min_by(F.struct("canonical_id", "form"), F.struct(F.col("place"), -F.col("seq"), -F.col("pos"))).alias("m"))
+    hit = hit.select("key", F.col("m.canonical_id").alias("canonical_id"), F.col("m.form").alias("form")).join(mains, "canonical_id", "left").select("key", "canonical_id", (F.col("form") == F.col("main")).alias("same"))
+    best = near.join(keys, "key", "left_semi").join(owners, "seq").groupBy("key").agg(F.max_by(F.struct("score", F.col("canonical_id").alias("id")), F.struct(F.col("score"), -F.col("seq"), -F.col("pos"))).alias("b"))
+    out = ready.join(hit, "key", "left").join(best, "key", "left")
+    similar = F.col("b").isNotNull() & ((F.col("size") > config.SHORT_NAME) | (F.col("b.score") >= config.SHORT_CUTOFF))
+    method = F.when(F.col("gate").isNotNull(), F.col("gate")).when(F.col("same"), "exact").when(F.col("canonical_id").isNotNull(), "alias").when(similar, "fuzzy").otherwise("new_entity")
+    rows = out.select("key", "name", method.alias("match_method"), "canonical_id", "b")
+    cid = F.when(F.col("match_method") == "new_entity", entity_id(F.col("key"), prefix)).when(F.col("match_method") == "fuzzy", F.col("b.id")).when(F.col("match_method").isin("exact", "alias"), F.col("canonical_id"))
+    sure = F.when(F.col("match_method").isin("exact", "new_entity"), 1.0).when(F.col("match_method") == "alias", 0.95).when(F.col("match_method") == "fuzzy", F.col("b.score") / 100).otherwise(0.0)
+    return rows.select("key", "name", cid.alias("canonical_id"), "match_method", sure.alias("match_confidence"))
 
 
 def merge_aliases(entities: DataFrame, added: DataFrame) -> DataFrame:

@@ -392,8 +392,9 @@ def fuzzy_match_best(at):
 
 @query()
 def resolution_rounds(at):
-    """Names resolved in order, each founding an entity where nothing earlier matches."""
-    probes = at("raw_names").where(~names.is_redaction_marker(F.col("name"))).select((F.col("key") + 1).alias("key"), "name", F.array().cast("array<string>").alias("variants"))
+    """Distinct names resolved in order of first appearance, each founding an entity where nothing earlier matches."""
+    known = at("raw_names").where(~names.is_redaction_marker(F.col("name"))).groupBy("name").agg(F.min("key").alias("key"))
+    probes = known.select((F.col("key") + 1).alias("key"), "name", F.array().cast("array<string>").alias("variants"))
     none = _registry(at).where("false")
     return resolve.resolve_in_order(probes, none, _written)[0]
 
