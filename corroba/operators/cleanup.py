@@ -42,12 +42,10 @@ def delete_entities(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str,
 
 def flag_entities(entities: DataFrame, flagged: DataFrame) -> DataFrame:
     """``entities`` with exclusion and its reason in the metadata of ``flagged`` (canonical_id, reason)."""
-    kind = "map<string,string>"
     joined = entities.join(flagged.select("canonical_id", "reason"), "canonical_id", "left")
     body = F.regexp_replace(F.regexp_replace(F.coalesce("metadata", F.lit("{}")), r"^\s*\{\s*", ""), r"\s*\}\s*$", "")
     note = F.concat(F.lit('"exclude_from_analysis": true, "exclude_reason": '), F.regexp_extract(F.to_json(F.create_map(F.lit("r"), F.col("reason"))), r'^\{"r":(.*)\}$', 1))
     new = F.concat(F.lit("{"), F.when(body == "", note).otherwise(F.concat(body, F.lit(", "), note)), F.lit("}"))
-    del kind
     return joined.withColumn("metadata", F.when(F.col("reason").isNotNull(), new).otherwise(F.col("metadata"))).select(*entities.columns)
 
 

@@ -142,9 +142,12 @@ _RED = "lower(trim(name))"
 _RANK = f"regexp_matches({_RED}, '{_q(_escape(config.RANKING_NOISE))}') OR regexp_matches({_RED}, '{'|'.join(f'(?:{p})' for p in config.RANKING_PATTERNS)}', 'i')"
 
 
+_EXPANDED = f"{_sql_noise('name')} OR lower(name) IN ({', '.join(repr(x) for x in config.FIRST_NAMES + config.GENERIC_WORDS)}) OR regexp_matches(name, '^(\\w{{1,2}}|[A-Z]\\.[A-Z]\\.)$')"
+
+
 @query(
     f"SELECT key, name, {_RED} LIKE '(b)%' OR {_RED} IN ('unknown', 'unidentified', 'n/a', 'redacted', 'sealed') OR length({_RED}) <= 1 AS redacted, {_sql_noise('name')} AS noise, "
-    f"regexp_matches(name, '{config.NUMBERED_PATTERN}', 'i') AS numbered, {_sql_noise('name')} OR lower(name) IN ({', '.join(repr(x) for x in config.FIRST_NAMES + config.GENERIC_WORDS)}) OR regexp_matches(name, '^(\\w{{1,2}}|[A-Z]\\.[A-Z]\\.)$') AS expanded, {_RANK} AS ranking FROM raw_names",
+    f"regexp_matches(name, '{config.NUMBERED_PATTERN}', 'i') AS numbered, {_EXPANDED} AS expanded, {_RANK} AS ranking FROM raw_names",
     "raw_names",
 )
 def noise_flags(at):
@@ -313,6 +316,12 @@ def corroboration_score(at):
     return rows.select("relationship_id", "source_name", "target_name", "relationship_type", "weight", "num_sources", F.round("evidence_points", 6).alias("evidence_points"), "num_documents", "source_prominence", "target_prominence", F.round("corroboration_score", 9).alias("corroboration_score"))
 
 
+@query(f", {_RECORDS} SELECT round(round(score, 9), 1) AS score, count(*) AS n FROM records GROUP BY 1", "lines", "entities", "relationships", "sources")
+def score_histogram(at):
+    rows = evidence.corroboration(_edges(at), at("entities"), _sources(at))
+    return evidence.score_histogram(rows.withColumn("corroboration_score", F.round("corroboration_score", 9)))
+
+
 _WEAK = f"weak AS (SELECT x.*, greatest(source_prominence, target_prominence) AS max_entity_prominence FROM records x JOIN (SELECT relationship_id, max({_CLASS}) AS c, count(DISTINCT source_system) AS n FROM sources GROUP BY 1) s USING (relationship_id) WHERE s.n = 1 AND s.c <> 'cooccurrence' AND greatest(source_prominence, target_prominence) >= 20)"
 
 
@@ -428,6 +437,17 @@ def merge_candidates(at):
     return cleanup.merge_candidates(_people(at), at("relationships"))
 
 
+@query(f", degrees AS ({_INCIDENT.format(e='relationships')}) SELECT canonical_id, coalesce(n_edges, 0) AS n_edges, CASE WHEN coalesce(n_edges, 0) > 50 THEN 'flag' ELSE 'delete' END AS action FROM (SELECT 'PER-' || lpad(CAST(key AS STRING), 5, '0') AS canonical_id FROM raw_names WHERE {_EXPANDED}) n LEFT JOIN degrees ON id = canonical_id", "lines", "raw_names", "relationships")
+def noise_entities(at):
+    people = _people(at).withColumn("metadata", F.lit("{}"))
+    return cleanup.noise_entities(people, at("relationships")).select("canonical_id", "n_edges", "action")
+
+
+@query(f", {_CLEAN}, shown AS (SELECT key, name, string_split({_squeeze('t')}, ' ') AS w FROM titled) SELECT 'PER-' || lpad(CAST(key AS STRING), 5, '0') AS canonical_id, name AS old_name, new_name FROM (SELECT key, name, array_to_string(CASE WHEN len(w) >= 3 AND w[1] = w[2] THEN w[2:] ELSE w END, ' ') AS new_name FROM shown) x WHERE new_name <> name AND new_name <> ''", "raw_names")
+def name_cleanups(at):
+    return cleanup.name_cleanups(_people(at))
+
+
 # every hundred suppliers counted as one entity
 _MOVED = "moved AS (SELECT relationship_id, 'ORG-' || lpad(CAST(o_custkey % 50 AS STRING), 5, '0') AS s, 'ORG-' || lpad(CAST(l_suppkey % 40 AS STRING), 5, '0') AS t, relationship_type, count(*) AS weight FROM lines GROUP BY 1, 2, 3, 4)"
 
