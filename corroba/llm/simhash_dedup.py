@@ -283,8 +283,9 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: in
 
     hashed = docs.withColumn("__text_hash", F.xxhash64(text))
     base = written(fingerprints(hashed, [id, "__text_hash"], text, shingle), "simhash-base")
-    named = base.join(classes(base, radius, bucket_rows), "fp")
-    best = named.groupBy("root").agg(F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("__text_hash").alias("hash"))).alias("best"))
+    # copies are reduced to their best row before the join, so a frequent fingerprint is one row there
+    smallest = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("__text_hash").alias("hash")))
+    best = base.groupBy("fp").agg(smallest.alias("best")).join(classes(base, radius, bucket_rows), "fp").groupBy("root").agg(F.min("best").alias("best"))
     best = written(best.select(F.col("best.id").alias("__best_id"), F.col("best.hash").alias("__best_hash")), "simhash-best")
     kept = hashed.join(best, hashed[id].eqNullSafe(best["__best_id"]) & (hashed["__text_hash"] == best["__best_hash"]), "left_semi")
     again = Window.partitionBy(id, "__text_hash").orderBy(*(c for c in docs.columns if c not in (id, text)), id)
