@@ -13,6 +13,7 @@ an empty table gives no rows and the unedited map; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -113,7 +114,7 @@ def shard(docs: DataFrame, id: str = "doc_id", text: str = "text", slots: int =
     size = [0] * slots
     for r in cells.groupBy("virtual_slot").agg(F.sum("bytes").alias("bytes")).collect():
         size[r.virtual_slot] = r.bytes
-    folder = folder or f"{shared_folder(spark)}/slot-map-{id}-{abs(hash(docs)) % 10**12}"
+    folder = folder or f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
     first = SlotMap.first(slots, shards)
     first.store(spark, folder)
     current = first.rebalanced(size)
