@@ -6,7 +6,7 @@
 2. Network: for each of the ``2 * SIDE`` neighbours an embedding table, summed to a hidden layer; the
    token is predicted in two steps, its class, then the token inside its class.
 3. Training is data-parallel over all documents: in each round the documents of one hash part pass through
-   the network where they lie; each task trains a copy on every ``STRIDE``-th position and emits it in
+   the network where they lie; each task trains a copy on every position (``stride`` 1) and emits it in
    blocks, weighted by its examples; blocks are summed in two steps and averaged. The driver
    only sees one model.
 4. Scoring: the sum over all positions of log p(token | neighbours on both sides), whole texts.
@@ -35,10 +35,10 @@ RARE = CLASS  # the last class
 SIDE = 2
 HIDDEN = 16
 ROUNDS = 3
-STRIDE = 8
+STRIDE = 1
 BATCH = 4096
-LEARN = 512
-RATE = 0.03
+LEARN = 2048
+RATE = 0.08
 BLOCKS = 16
 FAN = 4
 FLUSH = 400_000
