@@ -37,8 +37,8 @@ HIDDEN = 16
 ROUNDS = 3
 STRIDE = 1
 BATCH = 4096
-LEARN = 2048
-RATE = 0.08
+LEARN = 4096
+RATE = 0.12
 BLOCKS = 16
 FAN = 4
 FLUSH = 400_000
@@ -143,7 +143,7 @@ def shaped(v: np.ndarray) -> Params:
 def sequence(w: T.Words, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of the block with ``SIDE`` boundary tokens between texts, and where each word stands."""
     at = np.arange(len(w.start)) + SIDE * (w.doc + 1)
-    out = np.full(len(w.start) + SIDE * (w.n_docs + 1), TOKENS, np.int32)
+    out = np.full(len(w.start) + SIDE * (w.n_docs + 1), TOKENS, np.int16)  # short, so that it sorts by radix
     out[at] = words.tokens(w.hashes())
     return out, at
 
@@ -158,17 +158,22 @@ def _hidden(p: Params, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.maximum(h, 0)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    x -= np.log(np.exp(x).sum(1, keepdims=True))
+# A column of scores for each position: sums down the columns run over whole rows at a time.
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each column."""
+    x -= x.max(0)
+    np.exp(x, out=x)
+    x /= x.sum(0)
     return x
 
 
 def _log_at(x: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Log softmax of one column in each row."""
-    top = x.max(1)
-    picked = x[np.arange(len(x)), k]
-    return picked - top - np.log(np.exp(x - top[:, None]).sum(1))
+    """Log softmax at row ``k`` of each column."""
+    x -= x.max(0)
+    picked = x[k, np.arange(x.shape[1])]
+    return picked - np.log(np.exp(x, out=x).sum(0))
 
 
 def log_likelihoods(p: Params, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -180,11 +185,11 @@ def log_likelihoods(p: Params, tokens: np.ndarray, at: np.ndarray) -> np.ndarray
         order = np.argsort(target >> 6, kind="stable")
         target = target[order]
         h = _hidden(p, tokens, here[order])
-        score = _log_at(h @ p["Wc"] + p["bc"], target >> 6)
+        score = _log_at(p["Wc"].T @ h.T + p["bc"][:, None], target >> 6)
         edge = np.searchsorted(target >> 6, np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(edge)):
             a, b = edge[c], edge[c + 1]
-            score[a:b] += _log_at(h[a:b] @ p["Wo"][c].T + p["bo"][c], target[a:b] & (CLASS - 1))
+            score[a:b] += _log_at(p["Wo"][c] @ h[a:b].T + p["bo"][c][:, None], target[a:b] & (CLASS - 1))
         out[i + order] = score
     return out
 
@@ -210,20 +215,20 @@ class Trainer:
         order = np.argsort(target >> 6, kind="stable")
         at, target = at[order], target[order]
         h = _hidden(p, tokens, at)
-        d = np.exp(_log_softmax(h @ p["Wc"] + p["bc"]))
-        d[np.arange(n), target >> 6] -= 1
+        d = _softmax(p["Wc"].T @ h.T + p["bc"][:, None])
+        d[target >> 6, np.arange(n)] -= 1
         d /= n
-        back = d @ p["Wc"].T
-        wc, bc = h.T @ d, d.sum(0)
+        back = d.T @ p["Wc"].T
+        wc, bc = (d @ h).T, d.sum(1)
         edge = np.searchsorted(target >> 6, np.arange(CLASSES + 1))
         wo, bo = np.zeros_like(p["Wo"]), np.zeros_like(p["bo"])
         for c in np.flatnonzero(np.diff(edge)):
             a, b = edge[c], edge[c + 1]
-            e = np.exp(_log_softmax(h[a:b] @ p["Wo"][c].T + p["bo"][c]))
-            e[np.arange(b - a), target[a:b] & (CLASS - 1)] -= 1
+            e = _softmax(p["Wo"][c] @ h[a:b].T + p["bo"][c][:, None])
+            e[target[a:b] & (CLASS - 1), np.arange(b - a)] -= 1
             e /= n
-            back[a:b] += e @ p["Wo"][c]
-            wo[c], bo[c] = e.T @ h[a:b], e.sum(0)
+            back[a:b] += e.T @ p["Wo"][c]
+            wo[c], bo[c] = e @ h[a:b], e.sum(1)
         back *= h > 0
         for k, step in enumerate(_OFFSETS):
             context = tokens[at + step]
