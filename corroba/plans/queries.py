@@ -155,6 +155,19 @@ def noise_flags(at):
     return at("raw_names").select("key", "name", names.is_redaction_marker(c).alias("redacted"), names.is_noise_name(c).alias("noise"), names.is_numbered_reference(c).alias("numbered"), names.is_expanded_noise(c).alias("expanded"), names.is_ranking_noise(c).alias("ranking"))
 
 
+_EXPLAINED = "|".join(f"(?:{x})" for x in config.EXPANDED_PATTERNS)
+_IN = lambda words: ", ".join(f"'{_q(x)}'" for x in words)
+
+
+@query(
+    f"SELECT key, CASE WHEN lower(s) IN ({_IN(config.GENERIC_WORDS)}) THEN 'generic_word:' || lower(s) WHEN lower(s) IN ({_IN(config.FIRST_NAMES)}) AND NOT contains(s, ' ') THEN 'standalone_first_name:' || lower(s) "
+    f"WHEN s LIKE '%?' THEN 'question_mark_placeholder' WHEN {_sql_noise('s')} THEN 'base_noise_filter' WHEN regexp_matches(s, '{_q(_EXPLAINED)}') THEN 'pattern_match:' || s ELSE 'expanded_noise' END AS reason FROM (SELECT key, {_strip('name')} AS s FROM raw_names) n",
+    "raw_names",
+)
+def noise_reasons(at):
+    return at("raw_names").select("key", names.noise_reason(F.col("name")).alias("reason"))
+
+
 _EFTA = "nullif(upper(regexp_extract(raw, '\\b(EFTA\\d{6,})\\b', 1, 'i')), '')"
 _OGRN = "nullif(regexp_extract(raw, '\\bDOJ[\\s\\-_]?OGR[\\s\\-_]?(\\d{1,12})\\b', 1, 'i'), '')"
 _OGR = f"'DOJ-OGR-' || CASE WHEN length({_OGRN}) < 8 THEN lpad({_OGRN}, 8, '0') ELSE {_OGRN} END"
@@ -352,6 +365,17 @@ def category_conflicts(at):
     return conflicts.entity_categories(at("categories"))
 
 
+@query("SELECT severity, count(*) AS n FROM (SELECT CASE WHEN list_contains(v, 'victim') OR list_contains(v, 'perpetrator') THEN 'medium' ELSE 'low' END AS severity FROM (SELECT canonical_id, list(DISTINCT category) AS v FROM categories GROUP BY 1) x WHERE len(v) > 1 AND len(list_filter(v, lambda c: c NOT IN ('associate', 'other'))) > 0) y GROUP BY 1", "categories")
+def severity_counts(at):
+    return conflicts.severity_counts(conflicts.entity_categories(at("categories")))
+
+
+@query("SELECT canonical_id AS record_id, 'category' AS field_in_conflict FROM categories WHERE source_system = 'documents' AND category <> 'other'", "categories")
+def unresolved_conflicts(at):
+    found = at("categories").where("source_system = 'documents'").select(F.col("canonical_id").alias("record_id"), F.lit("category").alias("field_in_conflict"), F.when(F.col("category") == "other", "resolved").otherwise("unresolved").alias("resolution_status"))
+    return validate.unresolved_conflicts(found).select("record_id", "field_in_conflict")
+
+
 # ---- resolution and clean-up ----------------------------------------------------------------------
 
 _FORMS = "[lower({x}), lower({n}), lower({s})]"
@@ -499,6 +523,18 @@ def substring_doc_counts(at):
     return corpus.document_counts(corpus.substring_hits(pages, _phrases(at).where("term <> ''")))
 
 
+_NEXT = "next AS (SELECT p.item_id AS relationship_id, p.term AS term_a, q.term AS term_b FROM phrases p JOIN phrases q ON q.item_id = p.item_id + 1 WHERE p.term <> '' AND q.term <> '')"
+
+
+@query(f", {_PHRASES}, {_HITS}, {_NEXT} SELECT relationship_id, count(DISTINCT x.doc) AS document_count, array_to_string(list_slice(list_sort(list(DISTINCT x.doc)), 1, 20), ',') AS sample FROM next JOIN hits x ON x.term = term_a JOIN hits y ON y.term = term_b AND y.page = x.page GROUP BY 1", "pages")
+def corpus_corroboration(at):
+    named = _phrases(at).where("term <> ''").select(F.col("item_id").alias("relationship_id"), F.col("item_id").cast("string").alias("canonical_id"), F.lit("person").alias("entity_type"), F.col("term").alias("canonical_name"))
+    following = named.select((F.col("relationship_id") - 1).alias("relationship_id"), F.col("canonical_id").alias("target_entity_id"))
+    edges = named.select("relationship_id", F.col("canonical_id").alias("source_entity_id")).join(following, "relationship_id")
+    rows = corpus.corroborate(named.drop("relationship_id"), edges, edges.select("relationship_id", F.lit("documents").alias("source_system")), at("pages"))
+    return rows.select("relationship_id", "document_count", F.array_join("sample", ",").alias("sample"))
+
+
 def _coverage_parts(at):
     """Customers named after the benchmark's phrases, so that the corpus mentions some."""
     named = _phrases(at).where("term <> ''").select(F.concat(F.lit("PER-"), F.lpad(F.col("item_id").cast("string"), 5, "0")).alias("canonical_id"), F.lit("person").alias("entity_type"), F.col("term").alias("canonical_name"), F.lit(None).cast("array<string>").alias("aliases"))
@@ -598,3 +634,45 @@ def entity_connections(at):
 @query("SELECT source_system, source_entity_id, source_entity_name, match_method, match_confidence FROM log WHERE canonical_id = 'PER-00012'", "log")
 def resolution_trace(at):
     return validate.resolution_trace(at("log"), "PER-00012").select("source_system", "source_entity_id", "source_entity_name", "match_method", "match_confidence")
+
+
+@query("SELECT entity_type, count(*) AS n FROM entities GROUP BY 1", "entities")
+def entity_type_counts(at):
+    return validate.count_by(at("entities"), "entity_type")
+
+
+@query("SELECT canonical_id AS survivor_id, source_entity_id AS absorbed_id FROM log WHERE match_method <> 'fuzzy'", "log")
+def merge_history(at):
+    merges = at("log").select(F.when(F.col("match_method") == "fuzzy", "NOISE_DELETED").otherwise(F.col("canonical_id")).alias("survivor_id"), F.col("source_entity_id").alias("absorbed_id"), F.lit("2000-01-01").alias("merged_at"))
+    return validate.merge_history(merges).select("survivor_id", "absorbed_id")
+
+
+# ---- curated edges, extracted names ---------------------------------------------------------------
+
+_CURATED = "SELECT o_orderkey AS id, o_custkey AS source_entity_id, o_custkey % 97 + 1 AS target_entity_id, 'knows' AS relationship_type, CAST(NULL AS STRING) AS date_first, CAST(NULL AS STRING) AS date_last, CAST(o_orderkey % 5 AS DOUBLE) AS weight, CASE WHEN o_orderkey % 3 = 0 THEN '{\"efta\": \"efta' || lpad(CAST(o_orderkey AS STRING), 8, '0') || '\", \"original_type\": \"friend\"}' ELSE '{}' END AS metadata FROM orders"
+_KNOWN_IDS = "SELECT c_custkey AS id, 'PER-' || lpad(CAST(c_custkey AS STRING), 5, '0') AS canonical_id FROM customer WHERE c_custkey % 11 <> 5"
+
+
+@query(
+    f"SELECT r.id, s.canonical_id AS source_entity_id, t.canonical_id AS target_entity_id, json_extract_string(metadata, '$.original_type') AS relationship_subtype, weight, CASE WHEN r.id % 3 = 0 THEN 'EFTA' || lpad(CAST(r.id AS STRING), 8, '0') ELSE '' END AS documents "
+    f"FROM ({_CURATED}) r JOIN ({_KNOWN_IDS}) s ON s.id = r.source_entity_id JOIN ({_KNOWN_IDS}) t ON t.id = r.target_entity_id"
+)
+def typed_edges(at):
+    orders, customer = at("orders"), at("customer")
+    raw = orders.sparkSession.sql(_CURATED.replace("{", "{{").replace("}", "}}").replace("FROM orders", "FROM {orders}"), orders=orders)
+    ids = customer.sparkSession.sql(_KNOWN_IDS.replace("FROM customer", "FROM {customer}"), customer=customer)
+    edges, _ = relationships.typed_edges(raw, ids)
+    return edges.select("id", "source_entity_id", "target_entity_id", "relationship_subtype", "weight", F.array_join("source_documents", ",").alias("documents"))
+
+
+@query(
+    ", known AS (SELECT o_custkey AS key, max_by(o_orderkey % 50, o_orderkey) AS c FROM orders WHERE o_orderkey % 50 > 0 GROUP BY 1), docs AS (SELECT source_entity_id AS id, count(DISTINCT doc_key) AS n FROM lines GROUP BY 1) "
+    "SELECT canonical_id, canonical_name, k.c AS total_documents_mentioning, coalesce(d.n, 0) AS documents_in_knowledge_graph, round(coalesce(d.n, 0) / k.c, 9) AS coverage_ratio, greatest(0, k.c - coalesce(d.n, 0)) AS unanalyzed_count, CAST(0 AS INT) AS connections "
+    "FROM entities JOIN known k ON canonical_id = 'PER-' || lpad(CAST(k.key AS STRING), 5, '0') LEFT JOIN docs d ON d.id = canonical_id",
+    "lines", "entities",
+)
+def document_coverage_extracted(at):
+    people = at("entities").where("entity_type = 'person'").withColumn("aliases", F.lit(None).cast("array<string>"))
+    extracted = at("orders").join(at("customer").select(F.col("c_custkey").alias("o_custkey"), F.upper("c_name").alias("entity_value")), "o_custkey").select(F.col("o_orderkey").alias("pos"), "entity_value", (F.col("o_orderkey") % 50).alias("document_count"))
+    rows = corpus.coverage_any(people, _edges(at), None, extracted)
+    return rows.select("canonical_id", "canonical_name", "total_documents_mentioning", "documents_in_knowledge_graph", F.round("coverage_ratio", 9).alias("coverage_ratio"), "unanalyzed_count", "connections")
