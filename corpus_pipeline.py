@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corroba.llm import decontamination, packing, pii, quality_classifier, simhash_dedup
+from corroba.llm import decontamination, packing, pii, quality_classifier, shingle_dedup
 from corroba.llm._frames import written
 from corroba.llm.queries import vocabulary
 
@@ -21,8 +21,8 @@ def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component."""
-    return simhash_dedup.keep_one(docs)
+    """One document of each component of near copies, linked at a five-word shingle similarity of 0.8."""
+    return shingle_dedup.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", accept),
-    ("SimHash near-dedup", deduplicate),
+    ("shingle near-dedup", deduplicate),
     ("benchmark decontamination", decontaminate),
     ("PII", redact),
     ("packing", pack),

@@ -1,0 +1,316 @@
+"""Near copies by the Jaccard similarity of their five-word shingles, exactly: 0.8 or more.
+
+1. Texts with the same set of shingles are one; ``fp`` is a hash of the set. Each also has a parity sketch.
+2. Prefix filter: two sets with similarity 0.8 share a shingle among the first ``n - ceil(0.8 n) + 1`` of each in
+   any common order. The order puts shingles that are frequent in a sample of the texts last, so buckets are
+   small; the sample decides their sizes only, never the result. Buckets of equal members are one.
+3. Candidates of a bucket must pass two bounds that no similar pair fails: the ratio of sizes, and the sketches'
+   distance, which is never more than the sets' difference. They are verified on the whole sets.
+4. Large buckets first meet a few pivots, whose verified links unite most of a large group; then all pairs
+   of members that are still in different components are candidates. No bucket is cut.
+
+Defined results: null and blank texts have the empty set and are one group; fewer than five words are one shingle;
+otherwise as ``simhash_dedup.keep_one``.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import _text as T
+from ._frames import map_arrow, written
+from .simhash_dedup import components, first_rows
+
+SHINGLE = 5
+SKETCH = 256  # bits of the shortest sketch
+SAMPLE = 8192  # texts that the order of shingles is taken from
+COMMON = 1 << 17  # shingles that the order puts last, the most frequent of the sample
+SMALL = 16  # members of a bucket whose pairs are formed at once
+PIVOTS = 4
+ROWS = 1 << 17
+
+
+def _sets(column: pa.Array):
+    """(first row, number of rows, shingles, begin) of each block: every text's distinct shingles, sorted."""
+    for w in T.words(column):
+        h, begin = T.shingle_hashes(w.hashes(), w, SHINGLE)
+        doc = np.repeat(np.arange(w.n_docs), np.diff(begin))
+        order = np.lexsort((h, doc))
+        h, doc = h[order], doc[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        h, doc = h[new], doc[new]
+        yield w.first, w.n_docs, h, np.searchsorted(doc, np.arange(w.n_docs + 1))
+
+
+def _names(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Hash of each set; 0 for the empty one."""
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(T.mix(h ^ np.uint64(0x5851F42D4C957F2D)), out=total[1:])
+    return total[begin[1:]] - total[begin[:-1]]
+
+
+def _places(n: np.ndarray) -> np.ndarray:
+    """Bits of the sketch of a set of ``n`` shingles: a power of two from ``SKETCH`` on, at least ``n``."""
+    return np.left_shift(1, np.ceil(np.log2(np.maximum(n, SKETCH))).astype(np.int64))
+
+
+def _sketches(h: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    """Bits of each set: whether an odd number of its shingles fall into a place."""
+    size = _places(np.diff(begin))
+    start = np.cumsum(size) - size
+    doc = np.repeat(np.arange(len(size)), np.diff(begin))
+    at = start[doc] + (h & (size[doc] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.packbits((np.bincount(at, minlength=int(size.sum())) & 1).astype(np.uint8))
+    return [odd[a // 8 : (a + m) // 8].tobytes() for a, m in zip(start, size, strict=True)]
+
+
+def _close(sketch: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs i, j of sets pass the bound of the sketches; the longer sketch is folded onto the shorter."""
+    out = np.zeros(len(i), bool)
+    size = _places(n)
+    pair = np.minimum(size[i], size[j])
+    for m in np.unique(pair):
+        on = np.flatnonzero(pair == m)
+        used = np.unique(np.concatenate([i[on], j[on]]))
+        bits = np.zeros((len(used), m // 64), np.uint64)
+        for k in np.unique(size[used]):
+            rows = np.flatnonzero(size[used] == k)
+            whole = np.frombuffer(b"".join(sketch[x] for x in used[rows]), np.uint64).reshape(len(rows), k // m, m // 64)
+            bits[rows] = np.bitwise_xor.reduce(whole, axis=1)
+        step = max(1, (1 << 25) // int(m))
+        for k in range(0, len(on), step):
+            x, y = (np.searchsorted(used, v[on[k : k + step]]) for v in (i, j))
+            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+            out[on[k : k + step]] = 9 * apart <= (n[i] + n[j])[on[k : k + step]]
+    return out
+
+
+def texts_of(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys``, fp, n (distinct shingles) and sketch of each row."""
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            for first, n, h, begin in _sets(batch.column(len(keys))):
+                kept = [batch.column(i).slice(first, n) for i in range(len(keys))]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(_names(h, begin).view(np.int64)), pa.array(np.diff(begin), pa.int64()), pa.array(_sketches(h, begin), pa.binary())], [*keys, "fp", "n", "sketch"])
+
+        return step
+
+    kinds = dict(docs.dtypes)
+    return map_arrow(docs, [*keys, text], ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", fp bigint, n bigint, sketch binary", make)
+
+
+def common_shingles(docs: DataFrame, rows: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that the order puts last, sorted, and their level; from about ``SAMPLE`` texts."""
+    part = docs.where(F.pmod(F.xxhash64(text, F.lit(5)), F.lit(1 << 20)) < max(1, min(1 << 20, (SAMPLE << 20) // max(rows, 1))))
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            for _, _, h, _ in _sets(batch.column(0)):
+                h, n = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+
+        return step
+
+    counted = map_arrow(part, [text], "h bigint, n bigint", make).groupBy("h").agg(F.sum("n").alias("n"))
+    top = counted.where("n > 1").orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
+    h = top["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], np.log2(top["n"].to_numpy(np.float64)[order]).astype(np.int64) + 1
+
+
+def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], text: str) -> DataFrame:
+    """(bucket, fp): the shingles of each text's prefix."""
+    last, level = common
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            for _, _, h, begin in _sets(batch.column(0)):
+                size = np.diff(begin)
+                doc = np.repeat(np.arange(len(size)), size)
+                rank = np.zeros(len(h), np.int64)
+                if len(last):
+                    at = np.minimum(np.searchsorted(last, h), len(last) - 1)
+                    rank = np.where(last[at] == h, level[at], 0)
+                order = np.lexsort((h, rank, doc))
+                on = np.arange(len(h)) - begin[:-1][doc] < (size - (-(-4 * size // 5)) + 1)[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(h[order][on].view(np.int64)), pa.array(_names(h, begin)[doc[on]].view(np.int64))], ["bucket", "fp"])
+
+        return step
+
+    return map_arrow(docs, [text], "bucket bigint, fp bigint", make)
+
+
+def _by_bucket(rows: DataFrame, columns: list[str], schema: str, solve) -> DataFrame:
+    """``solve`` over blocks of whole buckets, as a dict of arrays sorted by bucket."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def make():
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def taken() -> pa.RecordBatch:
+            nonlocal size
+            size = 0
+            out = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held.clear()
+            return out
+
+        def step(batch: pa.RecordBatch):
+            nonlocal size
+            if not batch.num_rows:
+                return
+            held.append(batch)
+            size += batch.num_rows
+            if size >= ROWS and held[0].column(0)[0] != batch.column(0)[-1]:
+                whole = taken()
+                bucket = whole.column(0).to_numpy()
+                cut = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1
+                held.append(whole.slice(cut))
+                size = whole.num_rows - cut
+                yield from solve(whole.slice(0, cut))
+
+        def finish():
+            if held:
+                yield from solve(taken())
+
+        step.finish = finish
+        return step
+
+    return map_arrow(rows.select(*columns).repartition(n, "bucket").sortWithinPartitions("bucket"), columns, schema, make)
+
+
+def _shared(block: pa.RecordBatch):
+    """(bucket, fp, members, mark) of the buckets with two members or more; each member once."""
+    bucket, fp = (block.column(k).to_numpy() for k in (0, 1))
+    order = np.lexsort((fp, bucket))
+    bucket, fp = bucket[order], fp[order]
+    new = np.ones(len(fp), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (fp[1:] != fp[:-1])
+    bucket, fp = bucket[new], fp[new]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    size = np.diff(np.append(first, len(bucket)))
+    mark = np.bitwise_xor.reduceat(T.mix(fp.view(np.uint64)), first).view(np.int64)
+    # buckets of equal members are one, here within the task
+    chosen = np.zeros(len(first), bool)
+    many = np.flatnonzero(size > 1)
+    chosen[many[np.unique(np.stack([size[many], mark[many]]), axis=1, return_index=True)[1]]] = True
+    on = np.repeat(chosen, size)
+    if on.any():
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[on], fp[on], np.repeat(size, size)[on], np.repeat(mark, size)[on])], ["bucket", "fp", "members", "mark"])
+
+
+def buckets(prefix_rows: DataFrame) -> DataFrame:
+    """(bucket, fp, members): one bucket for each set of two or more texts that share a prefix shingle."""
+    rows = written(_by_bucket(prefix_rows, ["bucket", "fp"], "bucket bigint, fp bigint, members bigint, mark bigint", _shared), "shingle-buckets")
+    one = rows.groupBy("members", "mark").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return rows.drop("mark").join(one, "bucket", "left_semi")
+
+
+def _candidates(turn: str):
+    """Pairs (a, b) of a bucket to verify: in turn "pivots" of large buckets those of a few members only."""
+
+    def pairs(g: int, root: np.ndarray):
+        if turn == "all" or g <= SMALL:
+            step = max(1, (1 << 18) // g)
+            for k in range(0, g, step):
+                i, j = np.meshgrid(np.arange(k, min(g, k + step)), np.arange(g), indexing="ij")
+                yield i[i < j], j[i < j]
+        else:
+            _, first, n = np.unique(root, return_index=True, return_counts=True)
+            top = first[np.argsort(-n, kind="stable")[:PIVOTS]]
+            yield np.repeat(top, g), np.tile(np.arange(g), len(top))
+
+    def solve(block: pa.RecordBatch):
+        bucket, fp, n, root = (block.column(k).to_numpy() for k in range(4))
+        sketch = block.column(4).to_pylist()
+        edge = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def passed():
+            if waiting:
+                i, j = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                waiting.clear()
+                near = _close(sketch, n, i, j)
+                a, b = fp[i[near]], fp[j[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for at, end in zip(edge[:-1], edge[1:], strict=True):
+            order = at + np.argsort(fp[at:end], kind="stable")
+            for i, j in pairs(end - at, root[order]):
+                i, j = order[i], order[j]
+                on = (root[i] != root[j]) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
+                waiting.append((i[on], j[on]))
+                if sum(len(x) for x, _ in waiting[-1:]) > ROWS or len(waiting) > 20_000:
+                    yield from passed()
+        yield from passed()
+
+    return solve
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets (fp, grams) have a similarity of 0.8 or more."""
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            keep = np.zeros(batch.num_rows, bool)
+            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep[k] = 5 * shared >= 4 * (len(x) + len(y) - shared)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["a", "b"])
+
+        return step
+
+    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("grams").alias("y")), "b")
+    return map_arrow(both, ["a", "b", "x", "y"], "a bigint, b bigint", make)
+
+
+def whole_sets(docs: DataFrame, text: str) -> DataFrame:
+    """(fp, grams): the set of each row as the bytes of its sorted shingles."""
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            for _, n, h, begin in _sets(batch.column(0)):
+                data = [h[begin[i] : begin[i + 1]].tobytes() for i in range(n)]
+                yield pa.RecordBatch.from_arrays([pa.array(_names(h, begin).view(np.int64)), pa.array(data, pa.binary())], ["fp", "grams"])
+
+        return step
+
+    return map_arrow(docs, [text], "fp bigint, grams binary", make)
+
+
+def classes(hashed: DataFrame, base: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(fp, root) of each distinct set of ``base``: its component's smallest."""
+    common = common_shingles(hashed, base.count(), text)
+    members = buckets(prefixes(hashed, common, text))
+    known = base.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    members = written(members.join(known, "fp"), "shingle-members")
+    one = base.groupBy("fp").agg(F.min(F.struct(F.col(id).alias("id"), F.col("__text_hash").alias("hash"))).alias("one"))
+    large = bool(members.where(F.col("members") > SMALL).head(1))
+    links, roots = None, None
+    tried = base.sparkSession.createDataFrame([], "a bigint, b bigint")
+    for turn in ("pivots", "pivots", "all") if large else ("pivots",):
+        rows = members if links is None else members.where(F.col("members") > SMALL)
+        rows = rows.withColumn("root", F.col("fp")) if roots is None else rows.join(roots, rows.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
+        pairs = written(_by_bucket(rows, ["bucket", "fp", "n", "root", "sketch"], "a bigint, b bigint", _candidates(turn)).distinct().join(tried, ["a", "b"], "left_anti"), "shingle-pairs")
+        tried = tried.unionByName(pairs)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(one, "fp").select(F.col("one.id").alias("__one_id"), F.col("one.hash").alias("__one_hash"))
+        found = hashed.join(wanted, hashed[id].eqNullSafe(wanted["__one_id"]) & (hashed["__text_hash"] == wanted["__one_hash"]), "left_semi")
+        sets = written(whole_sets(found, text).dropDuplicates(["fp"]), "shingle-sets")
+        new = written(similar(pairs, sets), "shingle-links")
+        links = new if links is None else links.unionByName(new)
+        roots = written(components(links), "shingle-roots")
+    distinct = base.select("fp").distinct()
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of near copies: the smallest id (nulls last), once."""
+    hashed = docs.withColumn("__text_hash", F.xxhash64(text))
+    base = written(texts_of(hashed, [id, "__text_hash"], text), "shingle-base")
+    return first_rows(hashed, base, classes(hashed, base, id, text), docs.columns, id, text)

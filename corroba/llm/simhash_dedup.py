@@ -277,16 +277,21 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", rad
     return base.join(of, "fp").select(id, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component: the smallest id (nulls last), once."""
+def first_rows(hashed: DataFrame, base: DataFrame, classes: DataFrame, columns: list[str], id: str, text: str) -> DataFrame:
+    """Rows of ``hashed`` (with ``__text_hash``) with the smallest id of each class (nulls last), once."""
     from pyspark.sql import Window
 
-    hashed = docs.withColumn("__text_hash", F.xxhash64(text))
-    base = written(fingerprints(hashed, [id, "__text_hash"], text, shingle), "simhash-base")
     # copies are reduced to their best row before the join, so a frequent fingerprint is one row there
     smallest = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("__text_hash").alias("hash")))
-    best = base.groupBy("fp").agg(smallest.alias("best")).join(classes(base, radius, bucket_rows), "fp").groupBy("root").agg(F.min("best").alias("best"))
+    best = base.groupBy("fp").agg(smallest.alias("best")).join(classes, "fp").groupBy("root").agg(F.min("best").alias("best"))
     best = written(best.select(F.col("best.id").alias("__best_id"), F.col("best.hash").alias("__best_hash")), "simhash-best")
     kept = hashed.join(best, hashed[id].eqNullSafe(best["__best_id"]) & (hashed["__text_hash"] == best["__best_hash"]), "left_semi")
-    again = Window.partitionBy(id, "__text_hash").orderBy(*(c for c in docs.columns if c not in (id, text)), id)
-    return kept.withColumn("__again", F.row_number().over(again)).where("__again = 1").select(*docs.columns)
+    again = Window.partitionBy(id, "__text_hash").orderBy(*(c for c in columns if c not in (id, text)), id)
+    return kept.withColumn("__again", F.row_number().over(again)).where("__again = 1").select(*columns)
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: the smallest id (nulls last), once."""
+    hashed = docs.withColumn("__text_hash", F.xxhash64(text))
+    base = written(fingerprints(hashed, [id, "__text_hash"], text, shingle), "simhash-base")
+    return first_rows(hashed, base, classes(base, radius, bucket_rows), docs.columns, id, text)

@@ -57,3 +57,42 @@ def test_ten_operators_and_the_pipeline_are_registered():
     names = __spark_entry__.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
     assert "pipeline" in names and len(queries.QUERIES) == 10 and len(corpus_pipeline.STAGES) == 5
+
+
+def jaccard(a, b):
+    grams = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in (a, b))]
+    return len(grams[0] & grams[1]) / len(grams[0] | grams[1])
+
+
+def test_near_copies_with_edited_words_are_one(spark):
+    """Against all pairs: edited copies, a large group of them, a passage that many texts share, copies and blanks."""
+    r, texts = random.Random(5), []
+    for k in range(60):
+        words = prose(r.randint(20, 200), 2000 + k).split()
+        for edits in (0, 1, 2, 4):
+            new = list(words)
+            for _ in range(edits):
+                new[r.randrange(len(new))] = f"edit{r.randrange(10**6)}"
+            texts.append(" ".join(new))
+    group = prose(150, 3000).split()
+    for k in range(40):
+        texts.append(" ".join(w if i != 3 * k else f"one{k}" for i, w in enumerate(group)))
+    texts += [f"{prose(40, 3001)} {prose(30, 3100 + k)}" for k in range(40)]
+    texts += [texts[5], texts[5].upper(), None, "", " ", "two words", "two  words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            blank = not (texts[i] or "").strip(), not (texts[j] or "").strip()
+            if all(blank) or not any(blank) and jaccard(texts[i], texts[j]) >= 0.8:
+                a, b = top(i), top(j)
+                root[max(a, b)] = min(a, b)
+    got = sorted(x.doc_id for x in corpus_pipeline.deduplicate(spark, docs, "").collect())
+    assert got == sorted({top(i) for i in range(len(texts))})
+    assert corpus_pipeline.deduplicate(spark, docs.limit(0), "").count() == 0
