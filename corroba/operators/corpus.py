@@ -38,11 +38,17 @@ def phrase_hits(pages: DataFrame, terms: DataFrame, max_words: int = MAX_WORDS)
     return windows.join(firsts, "first", "left_semi").join(phrases, "first").where(F.startswith("window", "phrase")).select("page", "doc", "term").distinct()
 
 
-def substring_hits(pages: DataFrame, terms: DataFrame, limit: int = 500) -> DataFrame:
-    """Fallback without an index: terms found anywhere in the text, ASCII case folded. At most ``limit`` terms."""
+def substring_hits(pages: DataFrame, terms: DataFrame, block: int = 500) -> DataFrame:
+    """Fallback without an index: terms found anywhere in the text, ASCII case folded. About ``block`` terms are broadcast at a time."""
     fold = lambda c: F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    few = F.broadcast(terms.select("term").distinct().orderBy("term").limit(limit))
-    return pages.select("page", "doc", fold(F.col("text")).alias("low")).join(few, F.contains("low", fold(F.col("term")))).select("page", "doc", "term").distinct()
+    every, low = terms.select("term").distinct(), pages.select("page", "doc", fold(F.col("text")).alias("low"))
+    parts = max(1, -(-every.count() // block))
+    out = None
+    for k in range(parts):
+        few = F.broadcast(every.where(F.pmod(F.xxhash64("term"), F.lit(parts)) == k))
+        found = low.join(few, F.contains("low", fold(F.col("term")))).select("page", "doc", "term")
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
 
 
 def document_counts(hits: DataFrame) -> DataFrame:

@@ -249,6 +249,12 @@ def test_first_variant_wins_equal_counts(spark):
     assert rows(corpus.best_search_term(names, counts)) == [("p", "x", 3)]
 
 
+def test_substrings_of_all_terms(spark):
+    pages = spark.createDataFrame([(k, k % 50, f"so <T{k}> it is") for k in range(620)], "page long, doc long, text string")
+    terms = spark.createDataFrame([(f"<t{k}>",) for k in range(620)], "term string")
+    assert corpus.document_counts(corpus.substring_hits(pages, terms)).count() == 620
+
+
 def test_mentions_corroborate_discover(spark):
     e = spark.createDataFrame([(i, "person", n, None, None) for i, n in (("P1", "Ann Lee"), ("P2", "Bo Orr"), ("P3", "Cyd Fay"))], PERSON)
     r = spark.createDataFrame([(1, "P1", "P2", "x", 1.0)], EDGE).withColumn("source_documents", F.array(F.lit("EFTA000001")))
