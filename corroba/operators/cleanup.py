@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -151,6 +152,25 @@ def merge_metadata(survivor: Column, absorbed: Column) -> Column:
     return F.map_zip_with(F.coalesce(survivor, none), F.coalesce(absorbed, none), value)
 
 
+def merged_json(survivor: str | None, absorbed: list[str] | None) -> str | None:
+    """``merge_metadata`` over JSON objects, absorbed ones in turn; types of values stay, lists are united (strings in any case)."""
+    if not absorbed:
+        return survivor
+    number = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool)
+    out = json.loads(survivor) if survivor else {}
+    for text in absorbed:
+        for k, b in json.loads(text).items():
+            a = out.get(k)
+            if a is None or (a is False and b is True) or (number(a) and number(b) and b > a):
+                out[k] = b
+            elif isinstance(a, list) and isinstance(b, list):
+                first = {}
+                for x in a + b:
+                    first.setdefault(x.lower() if isinstance(x, str) else json.dumps([x], sort_keys=True), x)
+                out[k] = list(first.values())
+    return json.dumps(out)
+
+
 def union_aliases(name: Column, *lists: Column) -> Column:
     """Distinct aliases in any case, first spelling kept, without the name itself."""
     every = F.concat(*(F.coalesce(x, F.array().cast("array<string>")) for x in lists))
@@ -158,12 +178,15 @@ def union_aliases(name: Column, *lists: Column) -> Column:
 
 
 def apply_merges(tables: dict[str, DataFrame], merges: DataFrame) -> dict[str, DataFrame]:
-    """The tables with absorbed entities folded into survivors: aliases, relationships, provenance, log."""
+    """The tables with absorbed entities folded into survivors: aliases, metadata, relationships, provenance, log."""
     out = dict(tables)
     entities = tables["canonical_entities"]
-    folded = entities.join(merges, entities["canonical_id"] == merges["absorbed_id"]).groupBy("survivor_id").agg(F.flatten(F.sort_array(F.collect_list(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))))).alias("more"))
+    told = F.when(F.coalesce("metadata", F.lit("")) != "", F.struct("absorbed_id", "metadata"))
+    in_turn = F.transform(F.sort_array(F.collect_list(told)), lambda x: x["metadata"])
+    folded = entities.join(merges, entities["canonical_id"] == merges["absorbed_id"]).groupBy("survivor_id").agg(F.flatten(F.sort_array(F.collect_list(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))))).alias("more"), in_turn.alias("__absorbed"))
     kept = entities.join(merges.select(F.col("absorbed_id").alias("canonical_id")), "canonical_id", "left_anti").join(folded.withColumnRenamed("survivor_id", "canonical_id"), "canonical_id", "left")
-    out["canonical_entities"] = kept.withColumn("aliases", union_aliases(F.col("canonical_name"), F.col("aliases"), F.col("more"))).select(*entities.columns)
+    out["canonical_entities"] = kept.withColumn("aliases", union_aliases(F.col("canonical_name"), F.col("aliases"), F.col("more")))
+    out["canonical_entities"] = out["canonical_entities"].withColumn("metadata", F.udf(merged_json, "string")("metadata", "__absorbed")).select(*entities.columns)
     edges = tables["relationships"]
     moved = edges.join(_owner(S, merges), S, "left").join(_owner(T, merges), T, "left")
     moved = moved.withColumn(S, F.coalesce(f"__{S}", S)).withColumn(T, F.coalesce(f"__{T}", T)).select(*edges.columns)

@@ -201,6 +201,21 @@ def test_merges(spark):
     assert out["entity_resolution_log"].first().canonical_id == "P1"
 
 
+def test_merges_keep_metadata_of_absorbed_entities(spark):
+    e = spark.createDataFrame([("P1", "person", "Ada", None, '{"mentions": 2, "role": "x"}'), ("P2", "person", "A", None, '{"mentions": 10, "role": "y", "category": ["z"]}'), ("P3", "person", "B", None, '{"exclude_from_analysis": true}'), ("P4", "person", "C", None, None), ("P5", "person", "D", None, '{"k": 1}')], PERSON)
+    r = spark.createDataFrame([(1, "P1", "P5", "x", 1.0)], EDGE).withColumn("source_documents", F.array().cast("array<string>"))
+    s = spark.createDataFrame([(1, 1, "a")], "id long, relationship_id long, source_system string")
+    log = spark.createDataFrame([("P2", "x")], "canonical_id string, source_system string")
+    merges = spark.createDataFrame([("P2", "P1"), ("P3", "P1"), ("P4", "P1")], "absorbed_id string, survivor_id string")
+    out = cleanup.apply_merges({"canonical_entities": e, "relationships": r, "relationship_sources": s, "entity_resolution_log": log}, merges)["canonical_entities"]
+    assert {x.canonical_id: x.metadata for x in out.collect()} == {"P1": '{"mentions": 10, "role": "x", "category": ["z"], "exclude_from_analysis": true}', "P5": '{"k": 1}'}
+    assert [x.canonical_id for x in cleanup.excluded_ids(out).collect()] == ["P1"]
+
+
+def test_lists_in_metadata_are_united():
+    assert cleanup.merged_json('{"l": ["A", 1], "b": true}', ['{"l": ["a", "c", 1], "b": false}', '{"l": [{"x": 1}]}']) == '{"l": ["A", 1, "c", {"x": 1}], "b": true}'
+
+
 def test_three_way_consolidation_sums(spark):
     r = spark.createDataFrame([(i, "a" if i % 2 else "b", "b" if i % 2 else "a", "x", float(i)) for i in (1, 2, 3)] + [(4, "a", "a", "x", 9.0)], EDGE).withColumn("source_documents", F.array().cast("array<string>"))
     assert [(x.relationship_id, x.weight) for x in cleanup.consolidate(r).collect()] == [(3, 6.0)]
