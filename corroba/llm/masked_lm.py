@@ -6,14 +6,19 @@
 2. Network: for each of the ``2 * SIDE`` neighbours an embedding table, summed to a hidden layer; the
    token is predicted in two steps, its class, then the token inside its class.
 3. Training is data-parallel over all documents: in each round the documents of one hash part pass through
-   the network where they lie; each task trains a copy on every position (``stride`` 1) and emits it in
-   blocks, weighted by its examples; blocks are summed in two steps and averaged. The driver
-   only sees one model.
-4. Scoring: the sum over all positions of log p(token | neighbours on both sides), whole texts.
-
-Words are lower-cased (A-Z). Defined results: null, empty and blank texts have no tokens, likelihood 0
-and a null mean; null and repeated ids are scored row by row; an empty table gives no rows; other columns
-are ignored.
+   the network where they lie, in at most ``TASKS`` tasks whatever the number of splits. Each task trains a copy on
+   every position (``stride`` 1) and emits it in blocks; blocks are averaged in two steps, weighted by examples,
+   and so are the squared gradients, which the next round goes on with. The driver only sees one model.
+   ``TASKS`` bounds what a round shuffles; raise it along with the cluster.
+4. Spelling: words that share a rare token are told apart by their bytes. Byte pairs of all rare words of all
+   documents are counted along with the training, and a rare word's probability is that of its token times
+   that of its spelling among the token's words.
+5. Scoring: the sum over all positions of log p(word | neighbours on both sides), whole texts.
+
+Words are lower-cased (A-Z). The averages depend on ``TASKS`` and on how the documents lie in files, so scores are
+reproducible for the same table under the same settings. Defined results: null, empty and blank texts have no
+tokens, likelihood 0 and a null mean; null and repeated ids are scored row by row; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,12 +44,17 @@ STRIDE = 1
 BATCH = 4096
 LEARN = 4096
 RATE = 0.12
+TASKS = 32
 BLOCKS = 16
 FAN = 4
+EDGE = 256  # a word's begin as a byte before, its end as a byte after
+SPELLED = 0.1  # added to each count of a byte pair
 FLUSH = 400_000
 
 Params = dict[str, np.ndarray]
+Model = tuple[Params, Params, "Spelling"]  # network, sums of squared gradients, counts of byte pairs
 _SHAPES = {"E": (2 * SIDE, TOKENS + 1, HIDDEN), "b": (HIDDEN,), "Wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "Wo": (CLASSES, CLASS, HIDDEN), "bo": (CLASSES, CLASS)}
+_SUMS = {k: s[:-1] if k in ("E", "Wo") else s for k, s in _SHAPES.items()}
 
 
 class Vocabulary:
@@ -65,6 +75,12 @@ class Vocabulary:
         self.known = np.zeros(1 << self.bits, np.uint64)
         self.token[place], self.known[place] = np.arange(len(place)), self.hashes
 
+    def __getstate__(self):
+        return self.hashes  # the table is made anew, so that tasks are sent the words only
+
+    def __setstate__(self, hashes: np.ndarray):
+        self.__init__(hashes)
+
     def tokens(self, h: np.ndarray) -> np.ndarray:
         place = (h * self.multiplier) >> np.uint64(64 - self.bits)
         rare = TOKENS - RARE + (h & np.uint64(RARE - 1)).astype(np.int32)
@@ -131,15 +147,55 @@ def flat(p: Params) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in _SHAPES])
 
 
-def shaped(v: np.ndarray) -> Params:
+def shaped(v: np.ndarray, shapes: dict[str, tuple[int, ...]] = _SHAPES) -> Params:
     out, at = {}, 0
-    for k, s in _SHAPES.items():
+    for k, s in shapes.items():
         n = int(np.prod(s))
         out[k] = v[at : at + n].reshape(s).astype(np.float32)
         at += n
     return out
 
 
+def fresh_sums() -> Params:
+    """Sums of squared gradients before training; one for a row of the large tables."""
+    return {k: np.full(s, 1e-6, np.float32) for k, s in _SUMS.items()}
+
+
+class Spelling:
+    """Counts of byte pairs in rare words, and the probability of a word's bytes under them."""
+
+    def __init__(self, counts: np.ndarray | None = None):
+        self.counts = np.zeros((EDGE + 1, EDGE + 1)) if counts is None else counts
+
+    def add(self, w: T.Words, rare: np.ndarray) -> None:
+        start, end = w.start[rare], w.end[rare]
+        if not len(start):
+            return
+        inside = np.zeros(len(w.data) + 1, np.int32)
+        np.add.at(inside, start, 1)
+        np.add.at(inside, end - 1, -1)
+        at = np.flatnonzero(np.cumsum(inside[:-1]) > 0)  # bytes of rare words but the last of each
+        size = EDGE + 1
+        found = np.bincount(w.data[at].astype(np.int64) * size + w.data[at + 1], minlength=size * size)
+        found += np.bincount(EDGE * size + w.data[start].astype(np.int64), minlength=size * size)
+        found += np.bincount(w.data[end - 1].astype(np.int64) * size + EDGE, minlength=size * size)
+        self.counts += found.reshape(size, size)
+
+    def logs(self) -> np.ndarray:
+        c = self.counts + SPELLED
+        return np.log(c / c.sum(1, keepdims=True)).astype(np.float32)
+
+
+def spelled(logs: np.ndarray, w: T.Words, rare: np.ndarray) -> np.ndarray:
+    """log p(bytes of the word | its rare token): words are dealt to the ``RARE`` tokens evenly."""
+    start, end = w.start[rare], w.end[rare]
+    if not len(start):
+        return np.zeros(0)
+    total = np.zeros(len(w.data) + 1)
+    np.cumsum(logs[w.data[:-1], w.data[1:]], out=total[1:-1], dtype=np.float64)
+    return total[end - 1] - total[start] + logs[EDGE, w.data[start]] + logs[w.data[end - 1], EDGE] + np.log(RARE)
+
+
 def sequence(w: T.Words, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of the block with ``SIDE`` boundary tokens between texts, and where each word stands."""
     at = np.arange(len(w.start)) + SIDE * (w.doc + 1)
@@ -197,9 +253,9 @@ def log_likelihoods(p: Params, tokens: np.ndarray, at: np.ndarray) -> np.ndarray
 class Trainer:
     """Adagrad steps on a copy of the network."""
 
-    def __init__(self, p: Params):
+    def __init__(self, p: Params, g: Params | None = None):
         self.p = {k: v.copy() for k, v in p.items()}
-        self.g = {k: np.full(s[:-1] if k in ("E", "Wo") else s, 1e-6, np.float32) for k, s in _SHAPES.items()}
+        self.g = {k: v.copy() for k, v in (g or fresh_sums()).items()}
         self.examples = 0
 
     def _step(self, k: str, grad: np.ndarray, at=slice(None)) -> None:
@@ -240,74 +296,93 @@ class Trainer:
             self._step(k, grad)
 
 
-def train_round(docs: DataFrame, text: str, words: Vocabulary, p: Params, turn: int, rounds: int, stride: int) -> Params:
+def train_round(docs: DataFrame, text: str, words: Vocabulary, model: Model, turn: int, rounds: int, stride: int, tasks: int) -> Model:
     """The average network after one part of the documents; unchanged if the part has no words."""
-    part = docs.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(text), F.lit(rounds)) == turn))
+    part = docs.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(text), F.lit(rounds)) == turn)).select(text).coalesce(tasks)
+    p, g, known = model
 
     def make():
-        model = Trainer(p)
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        trainer, spelling = Trainer(p, g), Spelling()
 
         def step(batch: pa.RecordBatch):
             for w in T.words(batch.column(0)):
                 tokens, at = sequence(w, words)
+                spelling.add(w, tokens[at] >= TOKENS - RARE)
                 at = at[(turn + w.first) % stride :: stride]
                 for i in range(0, len(at), LEARN):
-                    model.learn(tokens, at[i : i + LEARN])
+                    trainer.learn(tokens, at[i : i + LEARN])
             return ()
 
         def finish():
-            if model.examples:
-                v = flat(model.p).astype(np.float64) * model.examples
+            n = trainer.examples
+            if n:
+                v = np.concatenate([flat(trainer.p), *(trainer.g[k].ravel() for k in _SUMS), spelling.counts.ravel() / n])
                 bucket = TaskContext.get().partitionId() % FAN
-                pieces = [x.astype(np.float64).tobytes() for x in np.array_split(v, BLOCKS)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(BLOCKS), pa.int32()), pa.array(np.full(BLOCKS, bucket), pa.int32()), pa.array(np.full(BLOCKS, model.examples), pa.int64()), pa.array(pieces, pa.binary())], ["block", "bucket", "examples", "v"])
+                pieces = [x.astype(np.float32).tobytes() for x in np.array_split(v, BLOCKS)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(BLOCKS), pa.int32()), pa.array(np.full(BLOCKS, bucket), pa.int32()), pa.array(np.full(BLOCKS, n), pa.int64()), pa.array(pieces, pa.binary())], ["block", "bucket", "examples", "v"])
 
         step.finish = finish
         return step
 
-    def summed(frames):
+    def averaged(frames):
+        """The mean of each block's pieces, weighted by their examples."""
         key, total, n = None, None, 0
+
+        def told():
+            return pd.DataFrame({"block": [key[0]], "bucket": [key[1]], "examples": [n], "v": [(total / n).astype(np.float32).tobytes()]})
+
         for pdf in frames:
             for block, bucket, examples, v in zip(pdf["block"], pdf["bucket"], pdf["examples"], pdf["v"], strict=True):
-                v = np.frombuffer(v, np.float64)
                 if key is not None and key != (block, bucket):
-                    yield pd.DataFrame({"block": [key[0]], "bucket": [key[1]], "examples": [n], "v": [total.tobytes()]})
+                    yield told()
                     total, n = None, 0
                 key = (block, bucket)
-                total = v.copy() if total is None else total + v
+                v = np.frombuffer(v, np.float32).astype(np.float64) * examples
+                total = v if total is None else total + v
                 n += examples
         if key is not None:
-            yield pd.DataFrame({"block": [key[0]], "bucket": [key[1]], "examples": [n], "v": [total.tobytes()]})
+            yield told()
 
     schema = "block int, bucket int, examples bigint, v binary"
     emitted = map_arrow(part, [text], schema, make)
-    by_bucket = emitted.repartition(BLOCKS * FAN, "block", "bucket").sortWithinPartitions("block", "bucket").mapInPandas(summed, schema)
-    by_block = by_bucket.withColumn("bucket", F.lit(0)).repartition(BLOCKS, "block").sortWithinPartitions("block").mapInPandas(summed, schema)
+    by_bucket = emitted.repartition(BLOCKS * FAN, "block", "bucket").sortWithinPartitions("block", "bucket").mapInPandas(averaged, schema)
+    by_block = by_bucket.withColumn("bucket", F.lit(0)).repartition(BLOCKS, "block").sortWithinPartitions("block").mapInPandas(averaged, schema)
     rows = sorted(by_block.collect(), key=lambda r: r.block)  # one model
     if not rows:
-        return p
-    return shaped(np.concatenate([np.frombuffer(r.v, np.float64) for r in rows]) / rows[0].examples)
+        return model
+    v = np.concatenate([np.frombuffer(r.v, np.float32) for r in rows]).astype(np.float64)
+    a, b = (sum(int(np.prod(s)) for s in shapes.values()) for shapes in (_SHAPES, _SUMS))
+    counts = np.round(v[a + b :] * rows[0].examples).reshape(EDGE + 1, EDGE + 1)
+    return shaped(v[:a]), shaped(v[a : a + b], _SUMS), Spelling(known.counts + counts)
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> tuple[Vocabulary, Params]:
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, stride: int = STRIDE, tasks: int = TASKS) -> tuple[Vocabulary, Params, np.ndarray]:
+    """Vocabulary, network, and the logs of the spelling's probabilities."""
     words, counts = vocabulary(docs, text)
-    p = fresh(counts)
+    model: Model = (fresh(counts), fresh_sums(), Spelling())
     for turn in range(rounds):
-        p = train_round(docs, text, words, p, turn, rounds, stride)
-    return words, p
+        model = train_round(docs, text, words, model, turn, rounds, stride, tasks)
+    return words, model[0], model[2].logs()
 
 
-def score(docs: DataFrame, words: Vocabulary, p: Params, id: str = "doc_id", text: str = "text") -> DataFrame:
+def text_likelihoods(w: T.Words, words: Vocabulary, p: Params, logs: np.ndarray) -> np.ndarray:
+    """log p(word | both sides) at each position of a block."""
+    tokens, at = sequence(w, words)
+    out = log_likelihoods(p, tokens, at).astype(np.float64)
+    rare = tokens[at] >= TOKENS - RARE
+    out[rare] += spelled(logs, w, rare)
+    return out
+
+
+def score(docs: DataFrame, words: Vocabulary, p: Params, logs: np.ndarray, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, log_likelihood (sum), mean_log_likelihood."""
 
     def make():
         def step(batch: pa.RecordBatch):
             n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             for w in T.words(batch.column(1)):
-                tokens, at = sequence(w, words)
                 n[w.first : w.first + w.n_docs] = w.count
-                total[w.first : w.first + w.n_docs] = np.bincount(w.doc, log_likelihoods(p, tokens, at), w.n_docs)
+                total[w.first : w.first + w.n_docs] = np.bincount(w.doc, text_likelihoods(w, words, p, logs), w.n_docs)
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), mean], [id, "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
@@ -318,5 +393,5 @@ def score(docs: DataFrame, words: Vocabulary, p: Params, id: str = "doc_id", tex
 
 def pseudo_likelihood(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``score`` of all rows under a network trained on all of them."""
-    words, p = fit(docs, text)
-    return score(docs, words, p, id, text)
+    words, p, logs = fit(docs, text)
+    return score(docs, words, p, logs, id, text)
