@@ -1,16 +1,12 @@
-"""Near copies by the Jaccard similarity of their five-word shingles, exactly: 0.8 or more.
+"""Distinct shingles of texts as sets: which pairs of sets have a Jaccard similarity of 0.8 or more.
 
-1. Texts with the same set of shingles are one; ``fp`` is a hash of the set. Each also has a parity sketch.
-2. Prefix filter: two sets with similarity 0.8 share a shingle among the first ``n - ceil(0.8 n) + 1`` of each in
+Used by ``simhash_dedup.keep_one`` to verify links of the trie join and to find those beyond its radius.
+
+1. Prefix filter: two sets with similarity 0.8 share a shingle among the first ``n - ceil(0.8 n) + 1`` of each in
    any common order. The order puts shingles that are frequent in a sample of the texts last, so buckets are
    small; the sample decides their sizes only, never the result. Buckets of equal members are one.
-3. Candidates of a bucket must pass two bounds that no similar pair fails: the ratio of sizes, and the sketches'
-   distance, which is never more than the sets' difference. They are verified on the whole sets.
-4. Large buckets first meet a few pivots, whose verified links unite most of a large group; then all pairs
-   of members that are still in different components are candidates. No bucket is cut.
-
-Defined results: null and blank texts have the empty set and are one group; fewer than five words are one shingle;
-otherwise as ``simhash_dedup.keep_one``.
+2. Candidates of a bucket must pass two bounds that no similar pair fails: the ratio of sizes, and the distance of
+   parity sketches, which is never more than the sets' difference. They are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -22,15 +18,13 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._frames import map_arrow, written
-from .simhash_dedup import components, first_rows
 
 SHINGLE = 5
 SKETCH = 256  # bits of the shortest sketch
 SAMPLE = 8192  # texts that the order of shingles is taken from
 COMMON = 1 << 17  # shingles that the order puts last, the most frequent of the sample
-SMALL = 16  # members of a bucket whose pairs are formed at once
-PIVOTS = 4
 ROWS = 1 << 17
+PAIRS = 1 << 18  # pairs of a bucket that are compared at a time
 
 
 def _sets(column: pa.Array):
@@ -68,9 +62,9 @@ def _sketches(h: np.ndarray, begin: np.ndarray) -> list[bytes]:
     return [odd[a // 8 : (a + m) // 8].tobytes() for a, m in zip(start, size, strict=True)]
 
 
-def _close(sketch: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs i, j of sets pass the bound of the sketches; the longer sketch is folded onto the shorter."""
-    out = np.zeros(len(i), bool)
+def _apart(sketch: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which the sketches of the pairs i, j differ; the longer sketch is folded onto the shorter."""
+    out = np.zeros(len(i), np.int64)
     size = _places(n)
     pair = np.minimum(size[i], size[j])
     for m in np.unique(pair):
@@ -84,24 +78,23 @@ def _close(sketch: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray) ->
         step = max(1, (1 << 25) // int(m))
         for k in range(0, len(on), step):
             x, y = (np.searchsorted(used, v[on[k : k + step]]) for v in (i, j))
-            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
-            out[on[k : k + step]] = 9 * apart <= (n[i] + n[j])[on[k : k + step]]
+            out[on[k : k + step]] = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
     return out
 
 
 def texts_of(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys``, fp, n (distinct shingles) and sketch of each row."""
+    """``keys``, fp (the set's name), n (distinct shingles), sim (64-bit SimHash of the set) and sketch of each row."""
 
     def make():
         def step(batch: pa.RecordBatch):
             for first, n, h, begin in _sets(batch.column(len(keys))):
                 kept = [batch.column(i).slice(first, n) for i in range(len(keys))]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(_names(h, begin).view(np.int64)), pa.array(np.diff(begin), pa.int64()), pa.array(_sketches(h, begin), pa.binary())], [*keys, "fp", "n", "sketch"])
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(_names(h, begin).view(np.int64)), pa.array(np.diff(begin), pa.int64()), pa.array(T.majority_bits(h, begin).view(np.int64)), pa.array(_sketches(h, begin), pa.binary())], [*keys, "fp", "n", "sim", "sketch"])
 
         return step
 
     kinds = dict(docs.dtypes)
-    return map_arrow(docs, [*keys, text], ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", fp bigint, n bigint, sketch binary", make)
+    return map_arrow(docs, [*keys, text], ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", fp bigint, n bigint, sim bigint, sketch binary", make)
 
 
 def common_shingles(docs: DataFrame, rows: int, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -212,105 +205,74 @@ def buckets(prefix_rows: DataFrame) -> DataFrame:
 
 
 def _candidates(turn: str):
-    """Pairs (a, b) of a bucket to verify: in turn "pivots" of large buckets those of a few members only."""
-
-    def pairs(g: int, root: np.ndarray):
-        if turn == "all" or g <= SMALL:
-            step = max(1, (1 << 18) // g)
-            for k in range(0, g, step):
-                i, j = np.meshgrid(np.arange(k, min(g, k + step)), np.arange(g), indexing="ij")
-                yield i[i < j], j[i < j]
-        else:
-            _, first, n = np.unique(root, return_index=True, return_counts=True)
-            top = first[np.argsort(-n, kind="stable")[:PIVOTS]]
-            yield np.repeat(top, g), np.tile(np.arange(g), len(top))
+    """Pairs (a, b) of different classes of a bucket to verify: for "nearest" each member's closest one, for "all" every one."""
 
     def solve(block: pa.RecordBatch):
         bucket, fp, n, root = (block.column(k).to_numpy() for k in range(4))
         sketch = block.column(4).to_pylist()
         edge = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
 
         def passed():
-            if waiting:
-                i, j = (np.concatenate(x) for x in zip(*waiting, strict=True))
-                waiting.clear()
-                near = _close(sketch, n, i, j)
-                a, b = fp[i[near]], fp[j[near]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            i, j = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            waiting.clear()
+            apart = _apart(sketch, n, i, j)
+            near = 9 * apart <= n[i] + n[j]
+            i, j, apart = i[near], j[near], apart[near]
+            if turn == "nearest":
+                # rows of a member are never divided between two calls
+                order = np.lexsort((fp[j], apart / np.maximum(n[i] + n[j], 1), i))
+                i, j = i[order], j[order]
+                first = np.ones(len(i), bool)
+                first[1:] = i[1:] != i[:-1]
+                i, j = i[first], j[first]
+            a, b = np.unique(np.stack([np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j])]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for at, end in zip(edge[:-1], edge[1:], strict=True):
-            order = at + np.argsort(fp[at:end], kind="stable")
-            for i, j in pairs(end - at, root[order]):
-                i, j = order[i], order[j]
+            step = max(1, PAIRS // (end - at))
+            for k in range(at, end, step):
+                i, j = (x.ravel() for x in np.meshgrid(np.arange(k, min(end, k + step)), np.arange(at, end), indexing="ij"))
                 on = (root[i] != root[j]) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
-                waiting.append((i[on], j[on]))
-                if sum(len(x) for x, _ in waiting[-1:]) > ROWS or len(waiting) > 20_000:
+                if turn == "all":
+                    on &= i < j
+                if on.any():
+                    waiting.append((i[on], j[on]))
+                    held += int(on.sum())
+                if held > PAIRS:
                     yield from passed()
-        yield from passed()
+                    held = 0
+        if waiting:
+            yield from passed()
 
     return solve
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets (fp, grams) have a similarity of 0.8 or more."""
+def candidates(members: DataFrame, roots: DataFrame, turn: str) -> DataFrame:
+    """Pairs (a, b) of ``members`` (bucket, fp, n, sketch) that may be similar and are of different ``roots`` (fp, root)."""
+    rows = members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    rows = rows.join(mixed, "bucket", "left_semi")
+    return _by_bucket(rows, ["bucket", "fp", "n", "root", "sketch"], "a bigint, b bigint", _candidates(turn)).distinct()
 
-    def make():
-        def step(batch: pa.RecordBatch):
-            keep = np.zeros(batch.num_rows, bool)
-            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep[k] = 5 * shared >= 4 * (len(x) + len(y) - shared)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["a", "b"])
-
-        return step
 
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets (fp, grams) have a similarity of 0.8 or more."""
     both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("grams").alias("y")), "b")
-    return map_arrow(both, ["a", "b", "x", "y"], "a bigint, b bigint", make)
+    counted = both.select("a", "b", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("shared"))
+    return counted.where("5 * shared >= 4 * (n - shared)").select("a", "b")
 
 
 def whole_sets(docs: DataFrame, text: str) -> DataFrame:
-    """(fp, grams): the set of each row as the bytes of its sorted shingles."""
+    """(fp, grams): the set of each row, its shingles sorted."""
 
     def make():
         def step(batch: pa.RecordBatch):
-            for _, n, h, begin in _sets(batch.column(0)):
-                data = [h[begin[i] : begin[i + 1]].tobytes() for i in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array(_names(h, begin).view(np.int64)), pa.array(data, pa.binary())], ["fp", "grams"])
+            for _, _, h, begin in _sets(batch.column(0)):
+                grams = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(_names(h, begin).view(np.int64)), grams], ["fp", "grams"])
 
         return step
 
-    return map_arrow(docs, [text], "fp bigint, grams binary", make)
-
-
-def classes(hashed: DataFrame, base: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(fp, root) of each distinct set of ``base``: its component's smallest."""
-    common = common_shingles(hashed, base.count(), text)
-    members = buckets(prefixes(hashed, common, text))
-    known = base.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    members = written(members.join(known, "fp"), "shingle-members")
-    one = base.groupBy("fp").agg(F.min(F.struct(F.col(id).alias("id"), F.col("__text_hash").alias("hash"))).alias("one"))
-    large = bool(members.where(F.col("members") > SMALL).head(1))
-    links, roots = None, None
-    tried = base.sparkSession.createDataFrame([], "a bigint, b bigint")
-    for turn in ("pivots", "pivots", "all") if large else ("pivots",):
-        rows = members if links is None else members.where(F.col("members") > SMALL)
-        rows = rows.withColumn("root", F.col("fp")) if roots is None else rows.join(roots, rows.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
-        pairs = written(_by_bucket(rows, ["bucket", "fp", "n", "root", "sketch"], "a bigint, b bigint", _candidates(turn)).distinct().join(tried, ["a", "b"], "left_anti"), "shingle-pairs")
-        tried = tried.unionByName(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(one, "fp").select(F.col("one.id").alias("__one_id"), F.col("one.hash").alias("__one_hash"))
-        found = hashed.join(wanted, hashed[id].eqNullSafe(wanted["__one_id"]) & (hashed["__text_hash"] == wanted["__one_hash"]), "left_semi")
-        sets = written(whole_sets(found, text).dropDuplicates(["fp"]), "shingle-sets")
-        new = written(similar(pairs, sets), "shingle-links")
-        links = new if links is None else links.unionByName(new)
-        roots = written(components(links), "shingle-roots")
-    distinct = base.select("fp").distinct()
-    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
-
-
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component of near copies: the smallest id (nulls last), once."""
-    hashed = docs.withColumn("__text_hash", F.xxhash64(text))
-    base = written(texts_of(hashed, [id, "__text_hash"], text), "shingle-base")
-    return first_rows(hashed, base, classes(hashed, base, id, text), docs.columns, id, text)
+    return map_arrow(docs, [text], "fp bigint, grams array<bigint>", make)

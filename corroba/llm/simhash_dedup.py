@@ -13,9 +13,16 @@ Steps
    spanning forest of its links, never all pairs.
 4. Components by alternating large-star and small-star steps on written edge tables.
 
+``keep_one`` keeps one row of each group of texts that are linked at a five-word shingle similarity of 0.8. A
+64-bit fingerprint cannot tell that exactly: such pairs differ in about ten bits, and no radius that holds them
+all prunes a trie. So the trie join unites the copies that are close, each link verified on the whole shingle
+sets, and the links beyond its radius come from a prefix filter (``_shingle_sets``), among classes that are still
+apart: first each member's nearest candidate, twice, then every candidate that is left.
+
 Defined results: null or blank texts have fingerprint zero and are linked like any other; a null
-``doc_id`` takes part but never names a component (null if a component has no other); repeated
-rows are all returned; an empty table gives no rows; further columns of the input are ignored.
+``doc_id`` takes part but never names a component (null if a component has no other) and is kept only there;
+repeated rows are all returned by ``near_duplicates``, and one is kept; fewer words than a shingle's are one
+shingle; an empty table gives no rows; further columns are ignored, or kept as they are by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -25,14 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import _shingle_sets as S
 from . import _text as T
-from ._frames import map_arrow, written
+from ._frames import discard, fresh_name, map_arrow, written
 
 RADIUS = 4
 SHINGLE = 4
 BUCKET_ROWS = 4096
 LEVELS = 3
 CHUNK = 1 << 18
+SALTS = 8
+NEAREST = 2  # turns in which each member of a bucket offers its nearest candidate only
 
 
 def fingerprint_batch(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -269,29 +279,58 @@ def classes(base: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id (smallest id of its component)."""
     base = written(fingerprints(docs, [id], text, shingle), "simhash-base")
-    root = written(classes(base, radius, bucket_rows), "simhash-classes")
     first = base.groupBy("fp").agg(F.min(id).alias("low"))
-    named = first.join(root, "fp")
-    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = written(named.join(lowest, "root").select("fp", "component_id"), "simhash-components")
+    named = written(first.join(classes(base, radius, bucket_rows), "fp"), "simhash-classes")
+    # one row per class, for classes of several fingerprints; a large class is met by its members in parts
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n")).where("n > 1")
+    lowest = lowest.select("root", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    parted = named.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    of = parted.join(lowest.withColumn("several", F.lit(True)), ["root", "salt"], "left")
+    of = written(of.select("fp", F.when(F.col("several"), F.col("component_id")).otherwise(F.col("low")).alias("component_id")), "simhash-components")
     return base.join(of, "fp").select(id, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def first_rows(hashed: DataFrame, base: DataFrame, classes: DataFrame, columns: list[str], id: str, text: str) -> DataFrame:
-    """Rows of ``hashed`` (with ``__text_hash``) with the smallest id of each class (nulls last), once."""
-    from pyspark.sql import Window
-
-    # copies are reduced to their best row before the join, so a frequent fingerprint is one row there
-    smallest = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("__text_hash").alias("hash")))
-    best = base.groupBy("fp").agg(smallest.alias("best")).join(classes, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    best = written(best.select(F.col("best.id").alias("__best_id"), F.col("best.hash").alias("__best_hash")), "simhash-best")
-    kept = hashed.join(best, hashed[id].eqNullSafe(best["__best_id"]) & (hashed["__text_hash"] == best["__best_hash"]), "left_semi")
-    again = Window.partitionBy(id, "__text_hash").orderBy(*(c for c in columns if c not in (id, text)), id)
-    return kept.withColumn("__again", F.row_number().over(again)).where("__again = 1").select(*columns)
-
-
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component: the smallest id (nulls last), once."""
-    hashed = docs.withColumn("__text_hash", F.xxhash64(text))
-    base = written(fingerprints(hashed, [id, "__text_hash"], text, shingle), "simhash-base")
-    return first_rows(hashed, base, classes(base, radius, bucket_rows), docs.columns, id, text)
+def similar_classes(rows: DataFrame, sets: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(fp, root) of the sets that are linked: ``rows`` has (row, text), ``sets`` one row (fp, n, sim, sketch, row) per set."""
+    # the trie join's links between fingerprints, carried over to one set of each, and sets of one fingerprint
+    ends = sets.groupBy("sim").agg(F.min("fp").alias("rep"))
+    close = near_links(written(sets.select(F.col("sim").alias("fp")).distinct(), "dedup-fingerprints"), radius, bucket_rows)
+    close = close.join(ends.select(F.col("sim").alias("a"), F.col("rep").alias("x")), "a").join(ends.select(F.col("sim").alias("b"), F.col("rep").alias("y")), "b").select("x", "y")
+    equal = sets.join(ends, "sim").where("fp <> rep").select(F.col("fp").alias("x"), F.col("rep").alias("y"))
+    pairs = close.unionByName(equal).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+    members, roots, links, tried = None, None, None, None
+    for turn in ("trie", *["nearest"] * NEAREST, "all"):
+        if turn != "trie":
+            if members is None:
+                common = S.common_shingles(rows, rows.count(), "text")
+                members = S.buckets(S.prefixes(rows, common, "text"))
+                members = written(members.join(sets.select("fp", "n", "sketch"), "fp"), "dedup-members")
+            pairs = S.candidates(members, roots, turn).join(tried, ["a", "b"], "left_anti")
+        pairs = written(pairs, "dedup-pairs")
+        if turn != "trie" and not pairs.head(1):
+            break
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(sets.select("fp", "row"), "fp").select("row")
+        grams = written(S.whole_sets(rows.join(wanted, "row", "left_semi"), "text"), "dedup-sets")
+        new = written(S.similar(pairs, grams), "dedup-links")
+        discard(grams)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
+        roots = written(components(links).select(F.col("node").alias("fp"), "root"), "dedup-roots")
+    discard(members)
+    return roots
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies: the smallest id (nulls last), the first row of equals."""
+    row = fresh_name(docs, "row")
+    held = written(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-rows")
+    rows = held.select(F.col(row).alias("row"), held[id].alias("id"), held[text].alias("text"))
+    base = written(S.texts_of(rows, ["row", "id"], "text"), "dedup-base")
+    smallest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")
+    sets = written(base.groupBy("fp").agg(smallest, *(F.first(c).alias(c) for c in ("n", "sim", "sketch"))).withColumn("row", F.col("best.row")), "dedup-distinct")
+    discard(base)
+    roots = similar_classes(rows, sets)
+    of = sets.select("fp", "best").join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
+    chosen = written(of.select(F.col("best.row").alias(row)), "dedup-chosen")
+    return held.join(chosen, row, "left_semi").drop(row)

@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from corroba.llm import _text as T
 from corroba.llm import decontamination, masked_lm, packing, pii, quality_classifier, quality_rules, secret_scan, simhash_dedup, slot_sharding, token_counts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -109,12 +110,20 @@ def test_buckets_that_are_divided_lose_nothing(spark, bucket_rows):
     assert sorted((tuple(r) for r in got.select("doc_id", "fingerprint", "component_id").collect()), key=key) == dedup_reference([(r[0], r[1]) for r in rows])
 
 
-def test_keep_one_keeps_the_smallest_id_once(odd, empty):
-    kept = simhash_dedup.keep_one(odd)
-    assert kept.columns == odd.columns and kept.where("`__kept` = 'clash'").count() == kept.count()
+def test_keep_one_keeps_the_smallest_id_once(spark, odd, empty):
+    df = odd.withColumn("m", F.create_map(F.lit("k"), F.lit(1))).withColumn("_row", F.lit("clash"))
+    kept = simhash_dedup.keep_one(df)
+    assert kept.columns == df.columns and kept.where("`__kept` = 'clash' and `row` = 'clash' and `_row` = 'clash' and m['k'] = 1").count() == kept.count()
+    sets = lambda t: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := fold(t).split()) else set()
     rows = ids_texts(odd)
+    grams = [sets(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if grams[i] == grams[j] or 5 * len(grams[i] & grams[j]) >= 4 * len(grams[i] | grams[j]) > 0:
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
     low = {}
-    for (i, _), g in zip(rows, components_of(rows)[1], strict=True):
+    for (i, _), g in zip(rows, group, strict=True):
         low[g] = min([x for x in (i, low.get(g)) if x is not None], default=None)
     assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter(low.values())
     assert simhash_dedup.keep_one(empty).count() == 0
@@ -553,8 +562,64 @@ def test_context_is_learned_from_both_sides(spark):
     pairs = [("red", "fox"), ("blue", "sea"), ("old", "oak"), ("hot", "sun")]
     text = lambda n: " ".join(f"{a} x {b}" for a, b in (r.choice(pairs) for _ in range(n)))
     docs = spark.createDataFrame([(i, text(400)) for i in range(40)], "doc_id long, text string")
-    words, p = masked_lm.fit(docs, stride=1)
+    words, p, logs = masked_lm.fit(docs, stride=1)
     swapped = " ".join("red x sea blue x oak old x sun hot x fox".split() * 20)
     test = spark.createDataFrame([(0, text(80)), (1, swapped)], "doc_id long, text string")
-    good, bad = (x.mean_log_likelihood for x in masked_lm.score(test, words, p).orderBy("doc_id").collect())
+    good, bad = (x.mean_log_likelihood for x in masked_lm.score(test, words, p, logs).orderBy("doc_id").collect())
     assert good > bad + 0.3
+
+
+def plain_likelihood(text, known, p, logs):
+    """Loops over words, neighbours, hidden units, classes and bytes."""
+    m = masked_lm
+    words = fold(text).encode().split()
+    rare = lambda h: m.TOKENS - m.RARE + h % m.RARE
+    hashes = [int(next(T.words(pa.array([w.decode()]))).hashes()[0]) for w in words]
+    tokens = [known.get(h, rare(h)) for h in hashes]
+    total = 0.0
+    for i, t in enumerate(tokens):
+        h = p["b"].astype(float).copy()
+        for k, step in enumerate((-2, -1, 1, 2)):
+            h += p["E"][k][tokens[i + step] if 0 <= i + step < len(tokens) else m.TOKENS]
+        h = [max(x, 0.0) for x in h]
+        log_softmax = lambda x: x - np.log(np.exp(x).sum())
+        total += log_softmax(np.array([sum(a * b for a, b in zip(h, p["Wc"][:, c], strict=True)) + p["bc"][c] for c in range(m.CLASSES)]))[t // m.CLASS]
+        total += log_softmax(np.array([sum(a * b for a, b in zip(h, p["Wo"][t // m.CLASS][x], strict=True)) + p["bo"][t // m.CLASS][x] for x in range(m.CLASS)]))[t % m.CLASS]
+        if hashes[i] not in known:
+            path = [m.EDGE, *words[i], m.EDGE]
+            total += np.log(m.RARE) + sum(logs[a, b] for a, b in zip(path, path[1:], strict=False))
+    return total
+
+
+def test_likelihoods_against_plain_loops(spark):
+    texts = [prose(60, 70 + i) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words, p, _ = masked_lm.fit(docs, rounds=1)
+    words = masked_lm.Vocabulary(words.hashes[:150])  # the others are rare
+    spelling, counts = masked_lm.Spelling(), collections.Counter()
+    known = {int(h): k for k, h in enumerate(words.hashes)}
+    for w in T.words(pa.array(texts)):
+        spelling.add(w, words.tokens(w.hashes()) >= masked_lm.TOKENS - masked_lm.RARE)
+    for t in texts:
+        for x in t.encode().split():
+            if int(next(T.words(pa.array([x.decode()]))).hashes()[0]) not in known:
+                counts.update(zip([256, *x], [*x, 256], strict=True))
+    assert {(a, b): int(spelling.counts[a, b]) for a, b in zip(*np.nonzero(spelling.counts), strict=True)} == counts
+    ten = [prose(12, 900 + i) for i in range(7)] + ["Neverseen wörd", "", prose(3, 71)]
+    got = masked_lm.score(spark.createDataFrame(list(enumerate(ten)), "doc_id long, text string"), words, p, spelling.logs()).collect()
+    for r in got:
+        assert abs(r.log_likelihood - plain_likelihood(ten[r.doc_id], known, p, spelling.logs())) < 1e-3
+
+
+def test_rounds_shuffle_as_many_models_as_tasks(spark):
+    docs = spark.createDataFrame([(i, prose(30, i)) for i in range(200)], "doc_id long, text string").repartition(40)
+    words, counts = masked_lm.vocabulary(docs)
+    model = (masked_lm.fresh(counts), masked_lm.fresh_sums(), masked_lm.Spelling())
+    one = masked_lm.train_round(docs, "text", words, model, 0, 1, 1, 1)
+    many = masked_lm.train_round(docs, "text", words, model, 0, 1, 1, 3)
+    assert not np.allclose(one[0]["Wo"], many[0]["Wo"])  # the average depends on the number of tasks
+    assert all((one[1][k] >= model[1][k] - 1e-9).all() for k in one[1])  # squared gradients are carried on
+    import pickle
+
+    assert len(pickle.dumps(words)) < 10 * len(words.hashes) + 1000
+    assert np.array_equal(pickle.loads(pickle.dumps(words)).known, words.known)
