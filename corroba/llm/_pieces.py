@@ -16,6 +16,7 @@ from . import _text as T
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # The characters with the White_Space property.
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+HELD = 1 << 20  # distinct pieces after which the table is begun anew
 _BASE = 0xD6E8FEB86659FD93
 _classes: list[np.ndarray] = []
 
@@ -61,17 +62,20 @@ def cut(code: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Open-addressing map from 64-bit hashes to (offset, count) in a pool of ids."""
+    """Open-addressing map from 64-bit hashes to (offset, count) in a pool of ids; it grows before it is half full."""
 
-    def __init__(self, bits: int = 21):
-        self.bits = bits
-        self.key = np.zeros(1 << bits, np.uint64)
-        self.value = np.zeros(1 << bits, np.int64)
+    def __init__(self, bits: int = 16):
+        self._empty(bits)
         self.offset = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
         self.used = 0
 
+    def _empty(self, bits: int) -> None:
+        self.bits = bits
+        self.key = np.zeros(1 << bits, np.uint64)
+        self.value = np.zeros(1 << bits, np.int64)
+
     def find(self, h: np.ndarray) -> np.ndarray:
         """Index of each hash, -1 where it is new."""
         mask = np.uint64((1 << self.bits) - 1)
@@ -93,7 +97,15 @@ class Table:
         self.offset = np.concatenate([self.offset, len(self.pool) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
         self.pool = np.concatenate([self.pool, np.fromiter((x for some in ids for x in some), np.uint32, int(count.sum()))])
-        value = np.arange(first, first + len(h))
+        if 2 * (self.used + len(h)) > len(self.key):
+            old = self.key != 0
+            key, value = self.key[old], self.value[old]
+            self._empty(int(np.ceil(np.log2(4 * (self.used + len(h))))))
+            self._put(key, value)
+        self._put(h, np.arange(first, first + len(h)))
+        self.used += len(h)
+
+    def _put(self, h: np.ndarray, value: np.ndarray) -> None:
         mask = np.uint64((1 << self.bits) - 1)
         at = h & mask
         left = np.arange(len(h))
@@ -104,23 +116,24 @@ class Table:
             self.key[at[won]], self.value[at[won]] = h[won], value[won]
             left = left[self.key[at[left]] != h[left]]
             at[left] = (at[left] + np.uint64(1)) & mask
-        self.used += len(h)
-
-    def full(self) -> bool:
-        return self.used > (1 << self.bits) // 2
 
 
 class Encoder:
     """Ids of texts under a byte-level ``.json`` vocabulary."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, held: int = HELD):
         import json
 
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.special = [x["content"] for x in json.load(f)["added_tokens"]]
+            told = json.load(f)
+        cutter = told["pre_tokenizer"] or {}
+        if told["normalizer"] is not None or (cutter.get("type"), cutter.get("add_prefix_space"), cutter.get("use_regex")) != ("ByteLevel", False, True):
+            raise ValueError(f"{path}: only byte-level vocabularies with the usual pattern, and no normalizer, are handled")
+        self.special = [x["content"] for x in told["added_tokens"]]
+        self.held = held
         self.table = Table()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,8 +149,8 @@ class Encoder:
         total = np.zeros(len(code) + 1, np.uint64)
         np.cumsum((code + np.uint32(1)).astype(np.uint64) * T._power(_BASE, len(code)), out=total[1:])
         h = T.mix((total[stop] - total[start]) * T._power(pow(_BASE, -1, 1 << 64), len(code) + 1)[start]) | np.uint64(1)
-        if self.table.full():
-            self.table = Table(self.table.bits)
+        if self.table.used > self.held:
+            self.table = Table()
         at = self.table.find(h)
         new = np.flatnonzero(at < 0)
         if len(new):
