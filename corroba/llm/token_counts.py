@@ -43,6 +43,10 @@ class Splitter:
 
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
+        steps = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])]
+        split = (told["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        if steps != ["NFC", "Replace", "Lowercase"] or (split.get("type"), split.get("behavior"), split.get("invert")) != ("Split", "Removed", True):
+            raise ValueError(f"{path}: only lower-casing NFC vocabularies that keep a split's matches are handled")
         pattern = told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # \s of the library is the White_Space property; spelled out, as regex's own \s may differ
         self.find = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}")).findall
