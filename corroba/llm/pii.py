@@ -12,6 +12,7 @@ empty table gives no rows; other columns are ignored by ``find`` and kept by ``r
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -104,7 +105,8 @@ _GLYPH = re.compile("[" + re.escape("".join(_FOLD)) + "]")
 _RUN = re.compile(rf"(?<!\w)(?:(?P<plus>plus)[ -]+)?(?:{_NUMBER}|[0-9]+)(?:[ -]+(?:{_NUMBER}|{_DOT}|[0-9]+))*(?!\w)", re.I)
 _RUN_HINT = re.compile(rf"(?<!\w){_NUMBER}[ -]+(?:{_NUMBER}|{_DOT}|[0-9])", re.I)
 _PART = re.compile(rf"{_NUMBER}|{_DOT}|[0-9]+|plus|[ -]+", re.I)
-_MARKED = re.compile(rf"\s*[\[({{<]\s*(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))\s*[\])}}>]\s*", re.I)
+_MARKED = re.compile(rf"[\[({{<]\s*(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))\s*[\])}}>]", re.I)
+_BLANKS = re.compile(r"\s*")
 _BARE_DOT = rf"\s+{_DOT}\s+"
 _BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<local>(?:{_BARE_DOT}[A-Za-z0-9_%+-]+)*)(?P<at>\s*@\s*|\s+{_AT}\s+){_LABEL}(?:(?:\.|{_BARE_DOT}){_LABEL})*(?:{_BARE_DOT}){_LABEL}(?:(?:\.|{_BARE_DOT}){_LABEL})*", re.I)
 _BARE_HINT = re.compile(rf"\s{_DOT}\s", re.I)
@@ -119,7 +121,14 @@ def _glyph_edits(text: str) -> list[Edit]:
 
 def _marked_edits(text: str) -> list[Edit]:
     """Bracketed forms: name [at] host (dot) tld, with the spaces around them."""
-    return [(m.start(), m.end(), "@" if m.group("at") else ".") for m in _MARKED.finditer(text)]
+    out: list[Edit] = []
+    for m in _MARKED.finditer(text):
+        low = out[-1][1] if out else 0
+        a, b = m.start(), _BLANKS.match(text, m.end()).end()
+        while a > low and text[a - 1].isspace():
+            a -= 1
+        out.append((a, b, "@" if m.group("at") else "."))
+    return out
 
 
 def _spelled_edits(text: str) -> list[Edit]:
@@ -182,6 +191,21 @@ class Rewritten:
         return int(self.start[a]), int(self.end[b - 1])
 
 
+class Cover:
+    """Whether a span of some kind lies inside one of ``base``, whose spans of a kind do not overlap."""
+
+    def __init__(self, base: list[Span]):
+        self.start: dict[str, list[int]] = {}
+        self.end: dict[str, list[int]] = {}
+        for kind, a, b in sorted(base, key=lambda s: s[1]):
+            self.start.setdefault(kind, []).append(a)
+            self.end.setdefault(kind, []).append(b)
+
+    def holds(self, kind: str, a: int, b: int) -> bool:
+        at = bisect.bisect_right(self.start.get(kind, ()), a) - 1
+        return at >= 0 and b <= self.end[kind][at]
+
+
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Spans that only the rewritten text shows, in source characters."""
     r = Rewritten(text)
@@ -190,13 +214,14 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
     if r.start is None:
         return []
     out: list[Span] = []
+    cover = Cover(base)
     touched = np.concatenate([[0], np.cumsum(r.edited)])
     gone = np.concatenate([[False], r.start[1:] != r.end[:-1]]) if len(r.start) else np.zeros(0, bool)  # deleted characters before
     breaks = np.concatenate([[0], np.cumsum(gone)])
     for kind, a, b in detect(r.text):
         if touched[b] > touched[a] or breaks[b] > breaks[min(a + 1, b)]:
             start, end = r.source(a, b)
-            if not any(k == kind and s <= start and end <= e for k, s, e in base):
+            if not cover.holds(kind, start, end):
                 out.append((kind, start, end))
     return out
 
@@ -243,7 +268,6 @@ def spelled_hints(column: pa.Array) -> np.ndarray:
     return out
 
 
-
 def batch_spans(column: pa.Array) -> list[tuple[list[Span], list[Span]]]:
     """``spans`` of each text. Counts over the bytes tell which texts can hold identifiers or disguises at all."""
     digits, signs = T.counts(column, _DIGIT), T.counts(column, _SIGN)
