@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 
 from . import _text as T
 from ._frames import map_arrow
+from .pii import Cover
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "entropy")
@@ -82,12 +83,13 @@ def windows(s: str) -> list[tuple[int, int]]:
 
 def entropy_spans(text: str, base: list[Span]) -> list[Span]:
     out: list[Span] = []
+    cover = Cover(base)
     for m in _CANDIDATE.finditer(text):
         if any(rule.search(m.group()) for rule in ALLOW) or ALLOW_BEFORE.search(text[max(0, m.start() - 16) : m.start()]):
             continue
         for a, b in windows(m.group()):
             a, b = a + m.start(), b + m.start()
-            if not any(s <= a and b <= e for _, s, e in base):
+            if not any(cover.holds(kind, a, b) for kind in BASE):
                 out.append(("entropy", a, b))
     return out
 
