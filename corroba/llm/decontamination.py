@@ -34,6 +34,7 @@ SIMILARITY = 0.8
 RADIUS = 23
 BLOCKS = 8
 ITEMS = 20_000
+SPAN = 4096  # positions of a text whose windows are compared at a time
 
 
 def _near_bytes(radius: int) -> np.ndarray:
@@ -61,9 +62,10 @@ class Index:
         grams, owners = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((found, np.uint64), (owners, np.int64)))
         begin = np.concatenate([[0], np.cumsum(self.size)]).astype(np.int64)
         self.fp = T.majority_bits(grams, begin) if len(grams) else np.zeros(0, np.uint64)
-        order = np.argsort(grams, kind="stable")
-        self.gram, first = np.unique(grams[order], return_index=True)
-        self.first, self.owner = np.append(first, len(order)), owners[order]
+        self.gram = np.unique(grams)
+        # the window sizes that each shingle asks for, once each however many items share it
+        asked = np.unique(np.stack([np.searchsorted(self.gram, grams), self.size[owners]]), axis=1) if len(grams) else np.zeros((2, 0), np.int64)
+        self.first, self.asked = np.searchsorted(asked[0], np.arange(len(self.gram) + 1)), asked[1]
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.gram >> np.uint64(44)] = True
         near = _near_bytes(RADIUS // BLOCKS)
@@ -88,23 +90,22 @@ class Index:
         which = np.searchsorted(self.gram, h[at])
         repeats = self.first[which + 1] - self.first[which]
         where = np.repeat(at, repeats)
-        item = self.owner[np.repeat(self.first[which] - (np.cumsum(repeats) - repeats), repeats) + np.arange(int(repeats.sum()))]
+        wanted = self.asked[np.repeat(self.first[which] - (np.cumsum(repeats) - repeats), repeats) + np.arange(int(repeats.sum()))]
         n = len(h)
-        low, high = int(at[0]), int(at[-1])
-        base = max(0, low - int(self.size.max()))
-        part = h[base : min(n, high + int(self.size.max()) + 1)]
-        bits = ((part[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int32)
-        sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
-        for m in np.unique(self.size[item]):
+        for m in np.unique(wanted):
             size = min(int(m), n)
             items, table = self.tables[int(m)]
-            seen = np.unique(where[self.size[item] == m])
+            seen = where[wanted == m]
             mark = np.zeros(n + 2, np.int64)
             np.add.at(mark, np.clip(seen - size + 1, 0, n - size), 1)
             np.add.at(mark, np.minimum(seen, n - size) + 1, -1)
             start = np.flatnonzero(np.cumsum(mark) > 0)
-            for chunk in range(0, len(start), 4096):
-                s = start[chunk : chunk + 4096]
+            # windows in runs of positions, so that the sums of bits are held for a stretch of the text only
+            for s in np.split(start, np.flatnonzero(np.diff(start // SPAN)) + 1):
+                base = int(s[0])
+                part = h[base : int(s[-1]) + size]
+                bits = ((part[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int32)
+                sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
                 fp = ((2 * (sums[s - base + size] - sums[s - base]) > size).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
                 block = fp.view(np.uint8).reshape(len(s), BLOCKS)
                 near = np.zeros((len(s), len(items)), bool)
