@@ -1,17 +1,18 @@
 """Quality rules learned as a decision list. Native DataFrame operations only.
 
-Statistics of every whole text are computed by column expressions and written. Rows with a label are
-counted by cells: each statistic falls between two candidate thresholds of a fixed grid, so the table
-that the driver sees has at most as many rows as the grid has cells, whatever the input. On it, sequential
-covering grows a conjunction of thresholds on one part of the labelled rows (best FOIL gain), prunes its
-last conditions on the other, keeps it if it is precise there, removes what it covers, and goes on.
-The list becomes one ordered chain of ``when`` expressions.
+Statistics of every whole text are computed by column expressions and written. Candidate thresholds are quantiles
+of the labelled rows of each kind; for each feature the ``STEPS`` that tell the kinds apart best, and some spread
+over its range, are kept. Labelled rows are then counted by cells between thresholds, so the table that the driver
+sees has at most as many rows as there are cells, whatever the input. On it, sequential covering grows a
+conjunction of thresholds on one part of the labelled rows (best FOIL gain), prunes its last conditions on the
+other, keeps it if it is precise there, removes what it covers, and goes on until no rule is precise. The list
+becomes one ordered chain of ``when`` expressions.
 
 Repeated 3-word windows are recognised by a 64-bit hash of the three words.
 
 Defined results: a null or empty text has no words and fails the base rule; null ids take no part in
-learning; repeated rows are all returned; without labels of both kinds the list is empty; an empty
-table gives no rows; other columns are ignored.
+learning; an id labelled twice counts as its lowest label; repeated rows are all returned; without labels of both
+kinds the list is empty; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,19 +26,15 @@ from pyspark.sql import functions as F
 
 from ._frames import written
 
-#: Candidate thresholds by feature, ascending.
-GRID: dict[str, tuple[float, ...]] = {
-    "n_words": (20, 50, 100, 400, 2000),
-    "mean_word": (2.5, 3.5, 4.5, 6.0, 8.0, 12.0),
-    "symbols": (0.002, 0.01, 0.03, 0.06, 0.1, 0.2),
-    "capitals": (0.05, 0.1, 0.2, 0.4, 0.7),
-    "repeated": (0.02, 0.05, 0.1, 0.2, 0.35, 0.5),
-    "distinct": (0.1, 0.2, 0.3, 0.45, 0.6, 0.8),
-    "dup_lines": (0.05, 0.1, 0.2, 0.35, 0.5),
-}
+FEATURES = ("n_words", "mean_word", "symbols", "capitals", "repeated", "distinct", "dup_lines")
+QUANTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
+#: Thresholds kept for a feature; the cells are at most (STEPS + 1) to the power of the features.
+STEPS = 6
 MIN_PRECISION = 0.9
-MIN_ROWS = 5
-MAX_RULES = 12
+#: A condition must hold for this share of the bad rows to grow on, and for two at least.
+MIN_SHARE = 0.02
+
+Grid = dict[str, tuple[float, ...]]
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -81,7 +78,7 @@ def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
 
 
 def features() -> dict[str, Column]:
-    """The features of ``GRID`` over the columns of ``statistics``."""
+    """``FEATURES`` over the columns of ``statistics``."""
     ratio = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     return {
         "n_words": F.col("n_words").cast("double"),
@@ -99,10 +96,7 @@ class Condition:
     feature: str
     below: bool  # below the threshold, or else at or above it
     step: int  # index of the threshold in the feature's grid
-
-    @property
-    def threshold(self) -> float:
-        return GRID[self.feature][self.step]
+    threshold: float
 
     def holds(self, cell: dict[str, int]) -> bool:
         return (cell[self.feature] <= self.step) == self.below
@@ -123,16 +117,17 @@ def _precision(rule: list[Condition], cells: list[Cell], at: int) -> tuple[float
     return (bad + 1) / (bad + good + 2), bad, good
 
 
-def learn(cells: list[Cell], min_precision: float = MIN_PRECISION, min_rows: int = MIN_ROWS, max_rules: int = MAX_RULES) -> list[list[Condition]]:
+def learn(cells: list[Cell], grid: Grid, min_precision: float = MIN_PRECISION, min_share: float = MIN_SHARE) -> list[list[Condition]]:
     """Rules for bad rows in order, by growing and pruning; ties go to the first candidate of the grid."""
-    candidates = [Condition(f, below, i) for f, grid in GRID.items() for i in range(len(grid)) for below in (True, False)]
+    candidates = [Condition(f, below, i, t) for f, steps in grid.items() for i, t in enumerate(steps) for below in (True, False)]
+    min_rows = max(2.0, min_share * sum(c[1] for c in cells))
     rules: list[list[Condition]] = []
     rest = list(cells)
-    while len(rules) < max_rules:
+    while True:
         rule: list[Condition] = []
         covered = rest
         bad, good = sum(c[1] for c in covered), sum(c[2] for c in covered)
-        while good > 0 and bad > 0 and len(rule) < 4:
+        while good > 0 and bad > 0:
             best, gain = None, 1e-9
             for x in candidates:
                 b = sum(c[1] for c in covered if x.holds(c[0]))
@@ -151,27 +146,73 @@ def learn(cells: list[Cell], min_precision: float = MIN_PRECISION, min_rows: int
             break
         kept = max(range(len(rule), 0, -1), key=lambda n: _precision(rule[:n], rest, 3)[0])
         rule = rule[:kept]
-        precision, bad, good = _precision(rule, rest, 3)
-        if bad < min_rows or bad / max(bad + good, 1) < min_precision:
+        _, bad, good = _precision(rule, rest, 3)
+        if bad < 1 or bad / (bad + good) < min_precision:
             break
         rules.append(rule)
         rest = [c for c in rest if not all(x.holds(c[0]) for x in rule)]
     return rules
 
 
-def counted(stats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality") -> list[Cell]:
-    """Labelled rows by cell of the grid. Every fifth id is held out; a third of the others is for pruning."""
+def labelled(stats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality") -> DataFrame:
+    """(bad, prune, features) of the labelled rows. Every fifth id is held out; a third of the others is for pruning."""
     fold = F.crc32(F.col(id).cast("string").cast("binary"))
-    known = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(id).agg(F.min(label).alias("label")).where(fold % 5 != 0)
+    known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(id).agg(F.min(label).alias("label")).where(fold % 5 != 0)
     made = features()
-    bins = [sum((F.when(made[f] >= t, 1).otherwise(0) for t in grid[1:]), F.when(made[f] >= grid[0], 1).otherwise(0)).alias(f"bin_{f}") for f, grid in GRID.items()]
-    count = lambda part, value: F.sum(F.when(F.col("prune") == part, (F.col("label") == value).cast("long")).otherwise(0))
-    table = stats.join(known, id).select("label", (F.pmod(F.xxhash64(id), F.lit(3)) == 0).alias("prune"), *bins).groupBy(*(f"bin_{f}" for f in GRID)).agg(count(False, 0).alias("a"), count(False, 1).alias("b"), count(True, 0).alias("c"), count(True, 1).alias("d"))
-    rows = table.collect()  # at most one row per cell of the grid
-    cells = [({f: r[f"bin_{f}"] for f in GRID}, float(r.a), float(r.b), float(r.c), float(r.d)) for r in rows]
+    return stats.join(known, id).select((F.col("label") == 0).alias("bad"), (F.pmod(F.xxhash64(id), F.lit(3)) == 0).alias("prune"), *(made[f].alias(f) for f in FEATURES))
+
+
+def _entropy(bad: float, good: float) -> float:
+    n = bad + good
+    return -sum(x / n * math.log2(x / n) for x in (bad, good) if x) if n else 0.0
+
+
+def thresholds(rows: DataFrame, steps: int = STEPS) -> Grid:
+    """For each feature up to ``steps`` thresholds, ascending, from the quantiles of bad and of good rows."""
+    found = rows.groupBy("bad").agg(*(F.percentile_approx(f, F.array(*map(F.lit, QUANTILES)), F.lit(10_000)).alias(f) for f in FEATURES)).collect()  # a row per kind
+    if len(found) < 2:
+        return {}
+    every = {}
+    for f in FEATURES:
+        at = sorted({x for r in found for x in r[f]})
+        every[f] = sorted({*at[1:], *((a + b) / 2 for a, b in zip(at, at[1:], strict=False))})
+    counts = [F.sum((F.col("bad") & (F.col(f) < t)).cast("long")).alias(f"{f}_{i}_1") for f, some in every.items() for i, t in enumerate(some)]
+    counts += [F.sum((~F.col("bad") & (F.col(f) < t)).cast("long")).alias(f"{f}_{i}_0") for f, some in every.items() for i, t in enumerate(some)]
+    row = rows.agg(F.sum(F.col("bad").cast("long")).alias("bad"), F.count("*").alias("n"), *counts).first()
+    grid: Grid = {}
+    for f, some in every.items():
+
+        def rest(i: int, f: str = f) -> float:
+            """Entropy that is left when the rows are divided at the threshold."""
+            b, g = row[f"{f}_{i}_1"], row[f"{f}_{i}_0"]
+            return (b + g) * _entropy(b, g) + (row.n - b - g) * _entropy(row.bad - b, row.n - row.bad - g)
+
+        best = sorted(range(len(some)), key=lambda i: (rest(i), i))[: steps // 2]
+        others = [i for i in range(len(some)) if i not in best]
+        room = min(steps - len(best), len(others))
+        best += [others[(2 * k + 1) * len(others) // (2 * room)] for k in range(room)]
+        if best:
+            grid[f] = tuple(some[i] for i in sorted(best))
+    return grid
+
+
+def counted(rows: DataFrame, grid: Grid) -> list[Cell]:
+    """Labelled rows by cell of the grid."""
+    bins = [sum((F.when(F.col(f) >= t, 1).otherwise(0) for t in steps[1:]), F.when(F.col(f) >= steps[0], 1).otherwise(0)).alias(f"bin_{f}") for f, steps in grid.items()]
+    count = lambda prune, bad: F.sum((F.col("prune").eqNullSafe(prune) & F.col("bad").eqNullSafe(bad)).cast("long"))
+    table = rows.select("bad", "prune", *bins).groupBy(*(f"bin_{f}" for f in grid)).agg(count(False, True).alias("a"), count(False, False).alias("b"), count(True, True).alias("c"), count(True, False).alias("d"))
+    found = table.collect()  # at most one row per cell of the grid
+    cells = [({f: r[f"bin_{f}"] for f in grid}, float(r.a), float(r.b), float(r.c), float(r.d)) for r in found]
     return sorted(cells, key=lambda c: tuple(c[0].values()))
 
 
+def rules_of(stats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality") -> list[list[Condition]]:
+    """The decision list that the labelled rows of ``stats`` teach."""
+    rows = written(labelled(stats, labels, id, label), "quality-labelled")
+    grid = thresholds(rows)
+    return learn(counted(rows, grid), grid) if grid else []
+
+
 def verdict(rules: list[list[Condition]]) -> Column:
     """False at the first rule that holds, else true."""
     made = features()
@@ -187,6 +228,6 @@ def verdict(rules: list[list[Condition]]) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """One row per row of ``docs``: id, base statistics, base_failed, kept."""
     stats = written(statistics(docs, id, text), "quality-statistics")
-    rules = learn(counted(stats, labels, id, label))
+    rules = rules_of(stats, labels, id, label)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return stats.select(id, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept"))
