@@ -3,10 +3,10 @@
 Statistics of every whole text are computed by column expressions and written. Candidate thresholds are quantiles
 of the labelled rows of each kind; for each feature the ``STEPS`` that tell the kinds apart best, and some spread
 over its range, are kept. Labelled rows are then counted by cells between thresholds, so the table that the driver
-sees has at most as many rows as there are cells, whatever the input. On it, sequential covering grows a
-conjunction of thresholds on one part of the labelled rows (best FOIL gain), prunes its last conditions on the
-other, keeps it if it is precise there, removes what it covers, and goes on until no rule is precise. The list
-becomes one ordered chain of ``when`` expressions.
+sees has at most as many rows as there are cells, whatever the input. On it, sequential covering goes by folds: it
+grows a conjunction of thresholds on all folds but one (best FOIL gain) and prunes its last conditions on that one,
+for each fold in turn; the rule that is most precise on its own fold, and on all rows, is kept, what it covers is
+removed, and so on until no rule is precise. The list becomes one ordered chain of ``when`` expressions.
 
 Repeated 3-word windows are recognised by a 64-bit hash of the three words.
 
@@ -31,7 +31,8 @@ QUANTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 #: Thresholds kept for a feature; the cells are at most (STEPS + 1) to the power of the features.
 STEPS = 6
 MIN_PRECISION = 0.9
-#: A condition must hold for this share of the bad rows to grow on, and for two at least.
+FOLDS = 3
+#: A rule must hold for this share of the bad rows, and for two at least.
 MIN_SHARE = 0.02
 
 Grid = dict[str, tuple[float, ...]]
@@ -108,58 +109,68 @@ class Condition:
         return made[self.feature] < self.threshold if self.below else made[self.feature] >= self.threshold
 
 
-Cell = tuple[dict[str, int], float, float, float, float]  # bins; bad and good rows to grow on, to prune on
+Cell = tuple[dict[str, int], tuple[float, ...], tuple[float, ...]]  # bins; bad and good rows by fold
 
 
-def _precision(rule: list[Condition], cells: list[Cell], at: int) -> tuple[float, float, float]:
-    bad = sum(c[at] for c in cells if all(x.holds(c[0]) for x in rule))
-    good = sum(c[at + 1] for c in cells if all(x.holds(c[0]) for x in rule))
-    return (bad + 1) / (bad + good + 2), bad, good
+def _covered(rule: list[Condition], cells: list[Cell], folds: list[int]) -> tuple[float, float]:
+    """Bad and good rows of the folds for which the rule holds."""
+    held = [c for c in cells if all(x.holds(c[0]) for x in rule)]
+    return sum(c[1][k] for c in held for k in folds), sum(c[2][k] for c in held for k in folds)
+
+
+def grow(cells: list[Cell], candidates: list[Condition], folds: list[int], min_rows: float) -> list[Condition]:
+    """A conjunction with the best FOIL gain at each step; ties go to the first candidate."""
+    rule: list[Condition] = []
+    counts = [(c[0], sum(c[1][k] for k in folds), sum(c[2][k] for k in folds)) for c in cells]
+    while True:
+        bad, good = sum(c[1] for c in counts), sum(c[2] for c in counts)
+        best, gain = None, 1e-9
+        for x in candidates if good > 0 and bad > 0 else ():
+            b = sum(c[1] for c in counts if x.holds(c[0]))
+            if b < min_rows:
+                continue
+            g = sum(c[2] for c in counts if x.holds(c[0]))
+            won = b * (math.log2(b / (b + g)) - math.log2(bad / (bad + good)))
+            if won > gain:
+                best, gain = x, won
+        if best is None:
+            return rule
+        rule.append(best)
+        counts = [c for c in counts if best.holds(c[0])]
 
 
 def learn(cells: list[Cell], grid: Grid, min_precision: float = MIN_PRECISION, min_share: float = MIN_SHARE) -> list[list[Condition]]:
-    """Rules for bad rows in order, by growing and pruning; ties go to the first candidate of the grid."""
+    """Rules for bad rows in order, by growing and pruning; ties go to the first fold."""
     candidates = [Condition(f, below, i, t) for f, steps in grid.items() for i, t in enumerate(steps) for below in (True, False)]
-    min_rows = max(2.0, min_share * sum(c[1] for c in cells))
+    every = list(range(len(cells[0][1]))) if cells else []
+    min_rows = max(2.0, min_share * _covered([], cells, every)[0])
     rules: list[list[Condition]] = []
     rest = list(cells)
     while True:
-        rule: list[Condition] = []
-        covered = rest
-        bad, good = sum(c[1] for c in covered), sum(c[2] for c in covered)
-        while good > 0 and bad > 0:
-            best, gain = None, 1e-9
-            for x in candidates:
-                b = sum(c[1] for c in covered if x.holds(c[0]))
-                if b < min_rows:
-                    continue
-                g = sum(c[2] for c in covered if x.holds(c[0]))
-                won = b * (math.log2(b / (b + g)) - math.log2(bad / (bad + good)))
-                if won > gain:
-                    best, gain = x, won
-            if best is None:
-                break
-            rule.append(best)
-            covered = [c for c in covered if best.holds(c[0])]
-            bad, good = sum(c[1] for c in covered), sum(c[2] for c in covered)
-        if not rule:
-            break
-        kept = max(range(len(rule), 0, -1), key=lambda n: _precision(rule[:n], rest, 3)[0])
-        rule = rule[:kept]
-        _, bad, good = _precision(rule, rest, 3)
-        if bad < 1 or bad / (bad + good) < min_precision:
-            break
-        rules.append(rule)
-        rest = [c for c in rest if not all(x.holds(c[0]) for x in rule)]
-    return rules
+        found: list[tuple[float, int, list[Condition]]] = []
+        for own in every:
+            rule = grow(rest, candidates, [k for k in every if k != own], min_rows)
+            told = [_covered(rule[:n], rest, [own]) for n in range(1, len(rule) + 1)]
+            sure = [(bad + 1) / (bad + good + 2) for bad, good in told]
+            if not rule:
+                continue
+            n = max(range(len(rule)), key=lambda n: (sure[n], -n))
+            bad, good = _covered(rule[: n + 1], rest, every)
+            if told[n][0] >= 1 and min(told[n][0] / sum(told[n]), bad / (bad + good)) >= min_precision and bad >= min_rows:
+                found.append((sure[n], -own, rule[: n + 1]))
+        if not found:
+            return rules
+        best = max(found, key=lambda x: x[:2])[2]
+        rules.append(best)
+        rest = [c for c in rest if not all(x.holds(c[0]) for x in best)]
 
 
 def labelled(stats: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality") -> DataFrame:
-    """(bad, prune, features) of the labelled rows. Every fifth id is held out; a third of the others is for pruning."""
+    """(bad, fold, features) of the labelled rows; every fifth id is held out."""
     fold = F.crc32(F.col(id).cast("string").cast("binary"))
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(id).agg(F.min(label).alias("label")).where(fold % 5 != 0)
     made = features()
-    return stats.join(known, id).select((F.col("label") == 0).alias("bad"), (F.pmod(F.xxhash64(id), F.lit(3)) == 0).alias("prune"), *(made[f].alias(f) for f in FEATURES))
+    return stats.join(known, id).select((F.col("label") == 0).alias("bad"), F.pmod(F.xxhash64(id), F.lit(FOLDS)).alias("fold"), *(made[f].alias(f) for f in FEATURES))
 
 
 def _entropy(bad: float, good: float) -> float:
@@ -199,10 +210,10 @@ def thresholds(rows: DataFrame, steps: int = STEPS) -> Grid:
 def counted(rows: DataFrame, grid: Grid) -> list[Cell]:
     """Labelled rows by cell of the grid."""
     bins = [sum((F.when(F.col(f) >= t, 1).otherwise(0) for t in steps[1:]), F.when(F.col(f) >= steps[0], 1).otherwise(0)).alias(f"bin_{f}") for f, steps in grid.items()]
-    count = lambda prune, bad: F.sum((F.col("prune").eqNullSafe(prune) & F.col("bad").eqNullSafe(bad)).cast("long"))
-    table = rows.select("bad", "prune", *bins).groupBy(*(f"bin_{f}" for f in grid)).agg(count(False, True).alias("a"), count(False, False).alias("b"), count(True, True).alias("c"), count(True, False).alias("d"))
+    count = lambda fold, bad: F.sum(((F.col("fold") == fold) & (F.col("bad") == bad)).cast("long")).alias(f"{'bad' if bad else 'good'}_{fold}")
+    table = rows.select("bad", "fold", *bins).groupBy(*(f"bin_{f}" for f in grid)).agg(*(count(k, bad) for bad in (True, False) for k in range(FOLDS)))
     found = table.collect()  # at most one row per cell of the grid
-    cells = [({f: r[f"bin_{f}"] for f in grid}, float(r.a), float(r.b), float(r.c), float(r.d)) for r in found]
+    cells = [({f: r[f"bin_{f}"] for f in grid}, *(tuple(float(r[f"{kind}_{k}"]) for k in range(FOLDS)) for kind in ("bad", "good"))) for r in found]
     return sorted(cells, key=lambda c: tuple(c[0].values()))
 
 

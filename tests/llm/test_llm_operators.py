@@ -634,9 +634,9 @@ def test_rules_find_the_bad_rows_that_are_held_out(spark):
 def test_covering_stops_where_rules_are_not_precise():
     grid = {"symbols": (0.01, 0.02, 0.3), "n_words": (5.0,)}
     none = dict.fromkeys(grid, 0)
-    mixed = [(none, 50.0, 50.0, 25.0, 25.0)]
+    mixed = [(none, (50.0, 25.0), (50.0, 25.0))]
     assert quality_rules.learn(mixed, grid) == []
-    clear = [(none | {"symbols": 3}, 40.0, 0.0, 20.0, 0.0), (none, 0.0, 40.0, 0.0, 20.0)]
+    clear = [(none | {"symbols": 3}, (40.0, 20.0), (0.0, 0.0)), (none, (0.0, 0.0), (40.0, 20.0))]
     assert [[str(c) for c in rule] for rule in quality_rules.learn(clear, grid)] == [["symbols >= 0.01"]]
 
 
