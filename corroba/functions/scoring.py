@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config
+from . import docids
 
 
 def evidence_class(stored: Column, system: Column, classes: dict[str, str] | None = None) -> Column:
@@ -25,9 +26,20 @@ def corroboration_score(sources: Column, points: Column, documents: Column) -> C
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(0.05) + 0.65 * gain(0.9, points) + 0.20 * gain(0.25, documents) + 0.10 * more))
 
 
+# fixed values: fields of an evidence object that hold document references
+LIST_FIELDS = ("efta_sample", "doc_key_sample", "doc_keys", "documents")
+SCALAR_FIELDS = ("document_id", "document_number", "doc_id", "raw_document_id", "raw_id", "metadata.efta")
+
+
 def evidence_doc_keys(evidence: Column) -> Column:
-    """Identifiers found anywhere in an evidence JSON text, distinct and ordered."""
+    """Document keys of an evidence JSON object, distinct and ordered: of the fields for references whatever they look
+    like, and of identifiers anywhere in the text."""
+    key = lambda x: docids.doc_key(docids.extract_efta(x), docids.extract_doj_ogr(x), x)
+    none = F.array().cast("array<string>")
+    listed = [F.coalesce(F.from_json(F.get_json_object(evidence, f"$.{f}"), "array<string>"), none) for f in LIST_FIELDS]
+    told = F.concat(*listed, F.array(*(F.get_json_object(evidence, f"$.{f}") for f in SCALAR_FIELDS)))
+    told = F.transform(F.filter(told, lambda x: F.coalesce(x, F.lit("")) != ""), key)
     efta = F.transform(F.regexp_extract_all(evidence, F.lit(r"(?i)\b(EFTA\d{6,})\b"), 1), F.upper)
     ogr = F.transform(F.regexp_extract_all(evidence, F.lit(r"(?i)\bDOJ[\s\-_]?OGR[\s\-_]?(\d{1,12})\b"), 1), lambda d: F.concat(F.lit("DOJ-OGR-"), F.when(F.length(d) < 8, F.lpad(d, 8, "0")).otherwise(d)))
     raw = F.regexp_extract_all(evidence, F.lit(r"\b(RAW-[0-9a-f]{12})\b"), 1)
-    return F.array_sort(F.array_distinct(F.concat(efta, ogr, raw)))
+    return F.array_sort(F.array_distinct(F.concat(told, *(F.coalesce(x, none) for x in (efta, ogr, raw)))))

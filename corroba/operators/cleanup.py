@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -115,16 +116,26 @@ def replay(candidates: Iterable[tuple[str, str]]) -> dict[str, str]:
     return gone
 
 
-def applied_merges(spark: SparkSession, candidates: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """(absorbed_id, survivor_id) after the ordered replay.
+def applied_merges(spark: SparkSession, candidates: DataFrame, materialise) -> DataFrame:
+    """(absorbed_id, survivor_id) after the ordered replay, as ``replay`` gives it, in rounds.
 
-    Candidates are pairs of names that clean to the same form, few beside the entities; the replay is sequential
-    by nature, so it runs on the driver, and fails above ``limit`` rows rather than dropping any.
+    A pair's fate depends on earlier pairs only that would absorb one of its two entities. A round decides every pair
+    that has no such pair left, or an end that is gone; the first open pair always is among them. ``materialise`` writes
+    a frame and returns it read again.
     """
-    rows = candidates.orderBy("pass", "match_key", "survivor_id", "absorbed_id").select("survivor_id", "absorbed_id").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} merge candidates; merge by parts of the name space")
-    return spark.createDataFrame(sorted(replay(rows).items()), "absorbed_id string, survivor_id string")
+    order = ["pass", "match_key", "survivor_id", "absorbed_id"]
+    pairs = candidates.where("survivor_id <> absorbed_id").select(*order).distinct()
+    open_ = materialise(pairs.select(F.struct(*order).alias("rank"), "survivor_id", "absorbed_id"))
+    gone = None
+    while open_.head(1):
+        first = open_.groupBy("absorbed_id").agg(F.min("rank").alias("first"))
+        ends = open_.join(first, "absorbed_id").join(first.select(F.col("absorbed_id").alias("survivor_id"), F.col("first").alias("before")), "survivor_id", "left")
+        free = (F.col("rank") == F.col("first")) & (F.col("before").isNull() | (F.col("rank") <= F.col("before")))
+        new = materialise(ends.where(free).select("absorbed_id", "survivor_id"))
+        gone = new if gone is None else gone.unionByName(new)
+        left = open_.join(new.select("absorbed_id"), "absorbed_id", "left_anti")
+        open_ = materialise(left.join(new.select(F.col("absorbed_id").alias("survivor_id")), "survivor_id", "left_anti").select("rank", "survivor_id", "absorbed_id"))
+    return gone if gone is not None else spark.createDataFrame([], "absorbed_id string, survivor_id string")
 
 
 def _owner(column: str, merges: DataFrame) -> DataFrame:
@@ -171,6 +182,31 @@ def merged_json(survivor: str | None, absorbed: list[str] | None) -> str | None:
     return json.dumps(out)
 
 
+def updated_json(old: str | None, new: str | None) -> str | None:
+    """``old`` with the fields of ``new``; numbers inside objects (counts by name) are added up."""
+    if not new:
+        return old
+    out = json.loads(old) if old else {}
+    for k, b in json.loads(new).items():
+        a = out.get(k)
+        if isinstance(a, dict) and isinstance(b, dict):
+            out[k] = {x: a.get(x, 0) + b.get(x, 0) for x in {**a, **b}}
+        else:
+            out[k] = b
+    return json.dumps(out, ensure_ascii=False)
+
+
+def with_metadata(entities: DataFrame, added: DataFrame, fill: bool = False) -> DataFrame:
+    """``entities`` with the JSON fields of ``added`` (canonical_id, fields) in their metadata; ``fill`` keeps what is known."""
+
+    @F.pandas_udf("string")
+    def joined(old: pd.Series, new: pd.Series) -> pd.Series:
+        return pd.Series([(updated_json(n, o) if fill and n else updated_json(o, n)) for o, n in zip(old, new, strict=True)], dtype=object)
+
+    rows = entities.join(added.select("canonical_id", F.col("fields").alias("__fields")), "canonical_id", "left")
+    return rows.withColumn("metadata", F.when(F.col("__fields").isNull(), F.col("metadata")).otherwise(joined("metadata", "__fields"))).select(*entities.columns)
+
+
 def union_aliases(name: Column, *lists: Column) -> Column:
     """Distinct aliases in any case, first spelling kept, without the name itself."""
     every = F.concat(*(F.coalesce(x, F.array().cast("array<string>")) for x in lists))

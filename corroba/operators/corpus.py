@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from . import graph
 
-MIN_NAME, MAX_WORDS = 4, 12
+MIN_NAME = 4
 
 
 def tokens(c: Column) -> Column:
@@ -22,20 +22,27 @@ def search_names(entities: DataFrame, min_length: int = MIN_NAME) -> DataFrame:
     return entities.select("canonical_id", F.posexplode(every).alias("pos", "term")).where(F.length("term") >= min_length)
 
 
-def phrase_hits(pages: DataFrame, terms: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
-    """(page, doc, term), distinct: terms whose tokens stand one after another on a page.
+def phrase_hits(pages: DataFrame, terms: DataFrame) -> DataFrame:
+    """(page, doc, term), distinct: terms, of any length, whose tokens stand one after another on a page.
 
-    ``pages`` has (page, doc, text); ``terms`` has (term). Pages and terms meet on a first token; each page
-    position carries only the few tokens after it.
+    ``pages`` has (page, doc, text); ``terms`` has (term). A page is turned into its distinct runs of tokens of the
+    lengths that terms have, and runs meet terms as wholes: a frequent word alone is no key, and a term is never
+    compared with places where only its beginning stands. The join is inside the scan where the terms are few.
     """
-    phrases = terms.select("term").distinct().withColumn("t", tokens(F.col("term"))).where(F.size("t") > 0).where(F.size("t") <= max_words)
-    phrases = phrases.select("term", F.size("t").alias("size"), F.get("t", F.lit(0)).alias("first"), F.concat(F.array_join("t", " "), F.lit(" ")).alias("phrase"))
-    firsts = phrases.select("first").distinct()
-    longest = phrases.agg(F.coalesce(F.max("size"), F.lit(1)).alias("longest"))  # one row
-    split = pages.select("page", "doc", tokens(F.col("text")).alias("t")).crossJoin(F.broadcast(longest))
-    window = lambda x, i: F.struct(x.alias("first"), F.concat(F.array_join(F.slice(F.col("t"), i + 1, F.col("longest")), " "), F.lit(" ")).alias("window"))
-    windows = split.select("page", "doc", F.explode(F.transform("t", window)).alias("w")).select("page", "doc", "w.first", "w.window")
-    return windows.join(firsts, "first", "left_semi").join(phrases, "first").where(F.startswith("window", "phrase")).select("page", "doc", "term").distinct()
+    phrases = terms.select("term").distinct().withColumn("t", tokens(F.col("term"))).where(F.size("t") > 0)
+    phrases = phrases.select("term", F.size("t").alias("size"), F.array_join("t", " ").alias("run"))
+    sizes = sorted(r["size"] for r in phrases.select("size").distinct().collect())  # as many as there are lengths
+    split = pages.select("page", "doc", tokens(F.col("text")).alias("t"))
+    none = F.array().cast("array<string>")
+
+    def runs(n: int) -> Column:
+        if n == 1:
+            return F.col("t")
+        starts = F.sequence(F.lit(1), F.greatest(F.size("t") - n + 1, F.lit(1)))
+        return F.when(F.size("t") >= n, F.transform(starts, lambda i: F.array_join(F.slice("t", i, n), " "))).otherwise(none)
+
+    every = split.select("page", "doc", F.explode(F.array_distinct(F.concat(none, *map(runs, sizes)))).alias("run"))
+    return every.join(phrases.select("term", "run"), "run").select("page", "doc", "term").distinct()
 
 
 def substring_hits(pages: DataFrame, terms: DataFrame, block: int = 500) -> DataFrame:
@@ -88,10 +95,10 @@ def corroborate(entities: DataFrame, edges: DataFrame, sources: DataFrame, pages
     return picked.where("known = 0").join(found, ["term_a", "term_b"]).select("relationship_id", F.lit("corpus").alias("source_system"), F.lit("co_occurrence").alias("source_relationship_type"), F.lit(config.EDGE_CONFIDENCE["corpus_known"]).alias("source_confidence"), F.lit("corpus_cooccurrence").alias("evidence_class"), "document_count", "sample")
 
 
-def discover(entities: DataFrame, mentions: DataFrame, edges: DataFrame, pages: DataFrame, top_entities: int = 100, top_hubs: int = 50, min_documents: int = 3) -> DataFrame:
+def discover(entities: DataFrame, mentions: DataFrame, edges: DataFrame, pages: DataFrame, top_entities: int = 100, top_hubs: int = 50, min_documents: int = 3, min_mentions: int = 10) -> DataFrame:
     """New co-occurrence edges between much mentioned, little connected persons and hubs without an edge."""
     persons = graph.with_incident_edges(entities.where("entity_type = 'person'"), edges)
-    quiet = persons.join(mentions.select("canonical_id", "document_count"), "canonical_id").where("document_count > 10 and n_edges < 5").orderBy(F.desc("document_count"), "canonical_id").limit(top_entities)
+    quiet = persons.join(mentions.select("canonical_id", "document_count"), "canonical_id").where((F.col("document_count") > min_mentions) & (F.col("n_edges") < 5)).orderBy(F.desc("document_count"), "canonical_id").limit(top_entities)
     hubs = persons.where("n_edges > 0").orderBy(F.desc("n_edges"), "canonical_id").limit(top_hubs)
     open_ = graph.hub_pairs_without_edge(quiet, hubs, edges).select(F.least("canonical_id", "hub_id").alias("a"), F.greatest("canonical_id", "hub_id").alias("b")).distinct()
     name = lambda end, out: entities.select(F.col("canonical_id").alias(end), F.col("canonical_name").alias(out))

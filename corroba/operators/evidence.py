@@ -19,20 +19,23 @@ def evidence_points(sources: DataFrame) -> DataFrame:
     return per.groupBy("relationship_id").agg(F.count("*").alias("num_sources"), F.sum("w").alias("evidence_points"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("kinds")))).alias("classes"))
 
 
-def document_keys(edges: DataFrame, sources: DataFrame) -> DataFrame:
-    """(relationship_id, num_documents): distinct keys in the edges' documents and in their evidence."""
-    own = edges.select("relationship_id", F.explode("source_documents").alias("doc_key"))
+def document_keys(edges: DataFrame, sources: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """(relationship_id, num_documents): distinct keys in the edges' documents (or ``documents``) and in their evidence."""
+    own = edges.select("relationship_id", F.explode("source_documents").alias("doc_key")) if documents is None else documents.select("relationship_id", "doc_key")
     told = sources.select("relationship_id", F.explode(scoring.evidence_doc_keys(F.col("source_evidence"))).alias("doc_key"))
     return own.unionByName(told).where("doc_key is not null and doc_key <> ''").groupBy("relationship_id").agg(F.count_distinct("doc_key").alias("num_documents"))
 
 
-def corroboration(edges: DataFrame, entities: DataFrame, sources: DataFrame) -> DataFrame:
-    """A scored record for each relationship whose ends are both known."""
-    name = lambda end, out: entities.select(F.col("canonical_id").alias(end), F.col("canonical_name").alias(f"{out}_name"), F.col("entity_type").alias(f"{out}_type"))
-    known = edges.join(name(S, "source"), S).join(name(T, "target"), T)
-    known = known.join(evidence_points(sources), "relationship_id", "left").join(document_keys(edges, sources), "relationship_id", "left")
-    degree = graph.prominence(edges)
-    known = known.join(degree.select(F.col("canonical_id").alias(S), F.col("prominence").alias("source_prominence")), S, "left").join(degree.select(F.col("canonical_id").alias(T), F.col("prominence").alias("target_prominence")), T, "left")
+def corroboration(edges: DataFrame, entities: DataFrame, sources: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """A scored record for each relationship whose ends are both known.
+
+    ``documents`` (relationship_id, doc_key) stands for the edges' own arrays where they are rows already. Edges meet
+    their points and documents under one key, and then one table of nodes (name, type, prominence) at either end.
+    """
+    nodes = entities.select("canonical_id", "canonical_name", "entity_type").join(graph.prominence(edges), "canonical_id", "left")
+    node = lambda end, out: nodes.select(F.col("canonical_id").alias(end), F.col("canonical_name").alias(f"{out}_name"), F.col("entity_type").alias(f"{out}_type"), F.col("prominence").alias(f"{out}_prominence"))
+    known = edges.select("relationship_id", S, T, "relationship_type", "weight").join(evidence_points(sources), "relationship_id", "left").join(document_keys(edges, sources, documents), "relationship_id", "left")
+    known = known.join(node(S, "source"), S).join(node(T, "target"), T)
     n, p, d = (F.coalesce(c, F.lit(0)) for c in ("num_sources", "evidence_points", "num_documents"))
     return known.select(
         "relationship_id", S, "source_name", "source_type", T, "target_name", "target_type", "relationship_type", "weight", n.alias("num_sources"), p.cast("double").alias("evidence_points"), d.alias("num_documents"),

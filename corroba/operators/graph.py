@@ -88,10 +88,15 @@ def common_neighbour_gaps(graph: DataFrame, top_nodes: int = 200, min_common: in
     left = near.select("neighbour", F.col("node").alias("a"), F.col("degree").alias("degree_a"))
     right = near.select("neighbour", F.col("node").alias("b"), F.col("degree").alias("degree_b"))
     shared = left.join(right, "neighbour").where("a < b").groupBy("a", "b", "degree_a", "degree_b")
-    found = shared.agg(F.count("*").alias("common_neighbours"), F.slice(F.sort_array(F.collect_set("neighbour")), 1, names).alias("sample")).where(F.col("common_neighbours") >= min_common)
+    found = shared.agg(F.count("*").alias("common_neighbours")).where(F.col("common_neighbours") >= min_common)
     open_ = found.join(graph.select("a", "b"), ["a", "b"], "left_anti")
     score = (F.col("common_neighbours") * (F.col("degree_a") + F.col("degree_b"))).alias("priority_score")
-    return open_.select("a", "b", "common_neighbours", "degree_a", "degree_b", score, "sample").orderBy(F.desc("priority_score"), "a", "b").limit(top_n)
+    best = open_.select("a", "b", "common_neighbours", "degree_a", "degree_b", score).orderBy(F.desc("priority_score"), "a", "b").limit(top_n)
+    # names only for the pairs that are reported; the first few of each by their rank
+    told = left.join(right, "neighbour").join(F.broadcast(best.select("a", "b")), ["a", "b"])
+    rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("neighbour"))
+    sample = told.select("a", "b", "neighbour").withColumn("r", rank).where(F.col("r") <= names).groupBy("a", "b").agg(F.sort_array(F.collect_list("neighbour")).alias("sample"))
+    return best.join(sample, ["a", "b"]).orderBy(F.desc("priority_score"), "a", "b")
 
 
 def jaccard(graph: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -112,21 +117,29 @@ def hub_pairs_without_edge(entities: DataFrame, hubs: DataFrame, edges: DataFram
 
 
 def communities(graph: DataFrame, rounds: int = 10, materialise=None) -> DataFrame:
-    """(node, community) by weighted label propagation: fixed rounds, ties to the smallest label.
+    """(node, community) by local moves that gain modularity: fixed rounds, ties to the smallest label.
 
-    Nodes of every second hash move in a round, which keeps bipartite parts from swapping for ever.
-    ``materialise`` cuts the lineage after each round (a function DataFrame -> DataFrame).
+    A node compares, for its own community and those of its neighbours, the weight of its edges into it with the
+    weight to expect there by the strengths of both. Nodes of every second digest move in a round, which keeps two
+    parts from swapping for ever. ``materialise`` cuts the lineage after each round (a function DataFrame -> DataFrame).
     """
     near = graph.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("neighbour"), "weight"), F.struct(F.col("b").alias("node"), F.col("a").alias("neighbour"), "weight"))).alias("e")).select("e.*")
-    labels = degrees(graph).select("node", F.col("node").alias("community"))
+    strength = near.groupBy("node").agg(F.sum("weight").alias("k"))
+    total = strength.agg(F.sum("k").alias("m"))  # one row
+    labels = strength.select("node", "k", F.col("node").alias("community"))
     for turn in range(rounds):
-        votes = near.join(labels.select(F.col("node").alias("neighbour"), "community"), "neighbour").groupBy("node", "community").agg(F.sum("weight").alias("votes"))
-        best = votes.groupBy("node").agg(F.min_by("community", F.struct(-F.col("votes"), F.col("community"))).alias("best"))
-        moves = F.pmod(F.xxhash64("node"), F.lit(2)) == turn % 2
-        labels = labels.join(best, "node", "left").select("node", F.when(moves, F.coalesce("best", "community")).otherwise(F.col("community")).alias("community"))
+        held = labels.groupBy("community").agg(F.sum("k").alias("held"))
+        into = near.join(labels.select(F.col("node").alias("neighbour"), "community"), "neighbour").select("node", "community", "weight")
+        into = into.unionByName(labels.select("node", "community", F.lit(0.0).alias("weight"))).groupBy("node", "community").agg(F.sum("weight").alias("w"))
+        own = F.col("community") == F.col("own")
+        gain = F.col("w") - F.col("k") * (F.col("held") - F.when(own, F.col("k")).otherwise(0.0)) / F.col("m")
+        told = into.join(held, "community").join(labels.select("node", "k", F.col("community").alias("own")), "node").crossJoin(F.broadcast(total))
+        best = told.groupBy("node").agg(F.min_by("community", F.struct((-gain).alias("g"), F.col("community"))).alias("best"))
+        moves = F.substring(F.md5(F.col("node").cast("string").cast("binary")), 32, 1).isin(*"02468ace") == (turn % 2 == 0)
+        labels = labels.join(best, "node").select("node", "k", F.when(moves, F.col("best")).otherwise(F.col("community")).alias("community"))
         if materialise is not None:
             labels = materialise(labels)
-    return labels
+    return labels.select("node", "community")
 
 
 def community_bridges(graph: DataFrame, labels: DataFrame, min_communities: int = 2) -> DataFrame:
@@ -134,8 +147,3 @@ def community_bridges(graph: DataFrame, labels: DataFrame, min_communities: int
     near = neighbours(graph).join(labels.select(F.col("node").alias("neighbour"), "community"), "neighbour")
     out = near.groupBy("node").agg(F.count_distinct("community").alias("communities_connected"), F.count("*").alias("degree"))
     return out.where(F.col("communities_connected") >= min_communities).withColumn("bridge_score", F.col("communities_connected") * F.col("degree"))
-
-
-def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the highest ``order`` of each key."""
-    return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where("__rank = 1").drop("__rank")

@@ -64,11 +64,12 @@ def apply_cooccurrence(pairs: DataFrame, edges: DataFrame) -> tuple[DataFrame, D
     return new, grown
 
 
-def triple_edges(triples: DataFrame, ids: DataFrame, aliases: DataFrame | None = None, cap: int = config.TRIPLE_CAP) -> DataFrame:
-    """Edges from (seq, actor, action, target): names mapped, direction dropped, typed by the action, weight capped.
+def triple_rows(triples: DataFrame, ids: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """(a, b, relationship_type, action, actor, target, seq, ...) of triples (seq, actor, action, target, ...): names mapped, direction dropped.
 
-    ``ids`` maps lower-case names to canonical ids; ``aliases`` maps raw names to preferred ones.
+    ``ids`` maps lower-case names to canonical ids; ``aliases`` maps raw names to preferred ones. Other columns are kept.
     """
+    more = [c for c in triples.columns if c not in ("seq", "actor", "action", "target")]
     rows = triples.where(~names.is_redaction_marker(F.col("actor")) & ~names.is_redaction_marker(F.col("target")) & ~names.is_noise_name(F.col("actor")) & ~names.is_noise_name(F.col("target")))
     for end in ("actor", "target"):
         name = names.strip(F.col(end))
@@ -76,8 +77,40 @@ def triple_edges(triples: DataFrame, ids: DataFrame, aliases: DataFrame | None =
             rows = rows.join(aliases.select(F.col("original_name").alias(end), F.col("canonical_name").alias("__preferred")), end, "left")
             name = F.coalesce("__preferred", name)
         rows = rows.withColumn(f"{end}_form", F.lower(name)).join(ids.select(F.col("form").alias(f"{end}_form"), F.col("canonical_id").alias(f"{end}_id")), f"{end}_form").drop("__preferred")
-    rows = rows.where("actor_id <> target_id").select(F.least("actor_id", "target_id").alias("a"), F.greatest("actor_id", "target_id").alias("b"), names.action_type(F.col("action")).alias("relationship_type"), "action", "seq")
-    return rows.groupBy("a", "b", "relationship_type").agg(F.least(F.count("*"), F.lit(cap)).cast("double").alias("weight"), F.min_by("action", "seq").alias("relationship_subtype"), F.count("*").alias("n_triples"))
+    return rows.where("actor_id <> target_id").select(F.least("actor_id", "target_id").alias("a"), F.greatest("actor_id", "target_id").alias("b"), names.action_type(F.col("action")).alias("relationship_type"), "action", "actor", "target", "seq", *more)
+
+
+KEYS = ["a", "b", "relationship_type"]
+
+
+def triple_edges(triples: DataFrame, ids: DataFrame, aliases: DataFrame | None = None, cap: int = config.TRIPLE_CAP) -> DataFrame:
+    """Edges from (seq, actor, action, target), typed by the action, weight capped."""
+    return edges_of_triples(triple_rows(triples, ids, aliases), cap)
+
+
+def edges_of_triples(rows: DataFrame, cap: int = config.TRIPLE_CAP) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(F.least(F.count("*"), F.lit(cap)).cast("double").alias("weight"), F.min_by("action", "seq").alias("relationship_subtype"), F.count("*").alias("n_triples"))
+
+
+def first_documents(rows: DataFrame, keys: list[str], cap: int = config.DOCUMENT_CAP) -> DataFrame:
+    """(keys, document_count, doc_key_sample, doc_keys) of (keys, doc_key): the first keys as text, and by class."""
+    distinct = rows.where("doc_key is not null").select(*keys, "doc_key").distinct()
+    by_class = F.row_number().over(Window.partitionBy(*keys).orderBy(docids.document_class(F.col("doc_key")), F.upper("doc_key"), "doc_key"))
+    by_text = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_key"))
+    ranked = distinct.withColumn("c", by_class).withColumn("t", by_text)
+    return ranked.groupBy(*keys).agg(
+        F.count("*").alias("document_count"), F.sort_array(F.collect_list(F.when(F.col("t") <= config.SAMPLE, F.col("doc_key")))).alias("doc_key_sample"),
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("c") <= cap, F.struct("c", "doc_key")))), lambda x: x["doc_key"]).alias("doc_keys"),
+    )
+
+
+def triple_evidence(rows: DataFrame) -> DataFrame:
+    """(a, b, relationship_type, doc_keys, source_evidence, notes) of ``triple_rows`` with doc_key: documents, a sample, counts of actions."""
+    actions = action_counts(rows.withColumn("action", F.lower("action")), KEYS)
+    first = rows.groupBy(*KEYS).agg(F.min_by(F.concat_ws(" → ", "actor", "action", "target"), "seq").alias("first"))
+    joined = first.join(first_documents(rows, KEYS), KEYS, "left").join(actions, KEYS, "left")
+    evidence = F.to_json(F.struct(F.lit("triple").alias("type"), F.coalesce("document_count", F.lit(0)).alias("document_count"), F.coalesce("doc_key_sample", F.array().cast("array<string>")).alias("doc_key_sample"), "action_counts"))
+    return joined.select(*KEYS, F.coalesce("doc_keys", F.array().cast("array<string>")).alias("doc_keys"), evidence.alias("source_evidence"), F.concat(F.lit("First triple: "), "first").alias("notes"))
 
 
 def top_actions(triples: DataFrame, keys: list[str], n: int = config.TOP_ACTIONS) -> DataFrame:

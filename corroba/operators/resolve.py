@@ -67,12 +67,12 @@ def similar_candidates(left: DataFrame, right: DataFrame, cutoff: float = config
 def fuzzy_match(probes: DataFrame, registry_names: DataFrame, cutoff: float = config.FUZZY_CUTOFF) -> DataFrame:
     """Best similar name of each probe (key, name); names of up to ten characters need a higher ratio.
 
-    ``registry_names`` has (canonical_id, name, pos); ties go to the smaller ``pos``. Numbered references never match.
+    ``registry_names`` has (canonical_id, name, pos), ``pos`` of any ordered type; ties go to the smaller one. Numbered references never match.
     """
     left = probes.where(~names.is_numbered_reference(F.col("name"))).select("key", names.normalize_name(F.col("name")).alias("n")).select("key", F.length("n").alias("size"), similarity.token_sort(F.col("n")).alias("a"))
     right = registry_names.select(F.struct("pos", "canonical_id").alias("id"), similarity.token_sort(names.normalize_name(F.col("name"))).alias("b"))
     scored = similar_candidates(left.select("key", "a"), right, cutoff).withColumn("score", similarity.sorted_ratio("a", "b")).where(F.col("score") >= cutoff)
-    best = scored.groupBy("key").agg(F.max_by(F.struct("score", "id"), F.struct(F.col("score"), -F.col("id.pos"))).alias("m")).join(left.select("key", "size"), "key")
+    best = scored.groupBy("key").agg(F.min_by(F.struct("score", "id"), F.struct(-F.col("score"), F.col("id.pos"))).alias("m")).join(left.select("key", "size"), "key")
     good = (F.col("size") > config.SHORT_NAME) | (F.col("m.score") >= config.SHORT_CUTOFF)
     return best.where(good).select("key", F.col("m.id.canonical_id").alias("canonical_id"), F.lit("fuzzy").alias("match_method"), (F.col("m.score") / 100).alias("match_confidence"))
 
@@ -85,12 +85,11 @@ def resolve(probes: DataFrame, registry: DataFrame, cutoff: float = config.FUZZY
     direct = exact_alias_match(open_, name_index(registry))
     rest = open_.join(direct, "key", "left_anti")
     every = registry.select("canonical_id", F.posexplode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("k", "name"), "seq").select("canonical_id", "name", F.struct("seq", "k").alias("order"))
-    ranked = every.select("canonical_id", "name", (F.col("order.seq") * 1000 + F.col("order.k")).alias("pos"))
-    found = direct.unionByName(fuzzy_match(rest, ranked, cutoff))
+    found = direct.unionByName(fuzzy_match(rest, every.withColumnRenamed("order", "pos"), cutoff))
     return gate.join(found, "key", "left").select("key", "name", "canonical_id", F.coalesce("match_method", "gate", F.lit("no_match")).alias("match_method"), F.coalesce("match_confidence", F.lit(0.0)).alias("match_confidence"))
 
 
-def resolve_in_order(probes: DataFrame, registry: DataFrame, materialise, prefix: str = "PER", cutoff: float = config.FUZZY_CUTOFF, max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+def resolve_in_order(probes: DataFrame, registry: DataFrame, materialise, prefix: str = "PER", cutoff: float = config.FUZZY_CUTOFF) -> tuple[DataFrame, DataFrame]:
     """Sequential semantics in rounds: a name that matches nothing founds an entity that later names can match.
 
     ``probes`` has (key, name, variants), in the order of ``key``; ``registry`` entries have ``seq`` below every key.
@@ -117,15 +116,13 @@ def resolve_in_order(probes: DataFrame, registry: DataFrame, materialise, prefix
     waits = materialise(waits.join(probes.select(F.col("key").alias("on")), "on", "left_semi"))
 
     done: DataFrame | None = None
-    for _ in range(max_rounds):
+    while True:  # the first open name never waits, so each round resolves some
         open_ = gate if done is None else gate.join(done.select("key"), "key", "left_anti")
         ready = materialise(open_.join(waits.join(open_.select(F.col("key").alias("on")), "on", "left_semi"), "key", "left_anti"))
         if not ready.head(1):
             break
         got = _resolve_round(ready, equal, near, registry, done, prefix)
         done = materialise(got if done is None else done.unionByName(got))
-    else:
-        raise RuntimeError(f"names still wait after {max_rounds} rounds")
     result = done if done is not None else _resolve_round(gate.where("false"), equal, near, registry, None, prefix)
     return result, result.where("match_method = 'new_entity'")
 
@@ -159,15 +156,17 @@ def merge_aliases(entities: DataFrame, added: DataFrame) -> DataFrame:
     return entities.join(more, "canonical_id", "left").withColumn("aliases", fresh).select(*entities.columns)
 
 
-def numbered(rows: DataFrame, order: list[str], taken: int, column: str) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str], taken: int, column: str, materialise=None) -> DataFrame:
     """``rows`` with ``column`` counting from ``taken`` + 1 in a total order.
 
-    A running count over range partitions, so no task holds all rows.
+    A running count over range partitions, so no task holds all rows. Rows and partition sizes must come from one
+    division into ranges: ``materialise`` writes it and reads it again.
     """
     from pyspark.sql import Window
 
     spread = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
     within = spread.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    within = materialise(within) if materialise is not None else within
     sizes = within.groupBy("__part").agg(F.max("__n").alias("__size"))  # a row per partition
     before = sizes.select("__part", (F.sum("__size").over(Window.orderBy("__part")) - F.col("__size")).alias("__before"))
     return within.join(F.broadcast(before), "__part").withColumn(column, F.col("__n") + F.col("__before") + taken).drop("__part", "__n", "__before")

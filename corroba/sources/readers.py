@@ -28,9 +28,8 @@ def optional(spark: SparkSession, path: str, schema: str, least: int = 1000) ->
 
 
 def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON array file as rows with ``pos``, their place in the file."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.posexplode(F.from_json("value", f"array<struct<{_struct(schema)}>>")).alias("pos", "r")).select("pos", "r.*")
+    """JSON arrays, a file or a folder of files, as rows with ``pos``, their place. A file is parsed as a stream, row by row."""
+    return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("pos", F.monotonically_increasing_id())
 
 
 def _struct(schema: str) -> str:

@@ -12,10 +12,25 @@ from .readers import conform
 
 
 class Store:
-    """The unified tables as Parquet under one folder; each stage writes a new version, readers see the last."""
+    """The unified tables as Parquet under one folder.
+
+    ``write`` makes a new version of a table, ``append`` adds files to the last one; readers see the last complete
+    version with what was added. Versions are found in the folder, so a new object sees what an earlier one wrote.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.version = spark, root.rstrip("/"), {}
+        self.spark, self.root, self.version, self.added = spark, root.rstrip("/"), {}, {}
+        for name in schemas.TABLES:
+            found = [int(x[1:]) for x in self._listed(f"{self.root}/{name}") if x[1:].isdigit() and "_SUCCESS" in self._listed(f"{self.root}/{name}/{x}/0")]
+            if found:
+                self.version[name] = max(found)
+                more = [int(x) for x in self._listed(f"{self.root}/{name}/v{max(found)}") if "_SUCCESS" in self._listed(f"{self.root}/{name}/v{max(found)}/{x}")]
+                self.added[name] = sorted(more)
+
+    def _listed(self, path: str) -> list[str]:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
 
     def create(self) -> Store:
         for name, schema in schemas.TABLES.items():
@@ -26,19 +41,22 @@ class Store:
         return f"{self.root}/{name}/v{self.version[name]}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(schemas.TABLES[name]).parquet(self.path(name))
+        return self.spark.read.schema(schemas.TABLES[name]).parquet(*(f"{self.path(name)}/{k}" for k in self.added[name]))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in self.version}
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         at = self.version.get(name, 0) + 1
-        conform(df, schemas.TABLES[name]).write.mode("overwrite").parquet(f"{self.root}/{name}/v{at}")
-        self.version[name] = at
+        conform(df, schemas.TABLES[name]).write.mode("overwrite").parquet(f"{self.root}/{name}/v{at}/0")
+        self.version[name], self.added[name] = at, [0]
         return self.read(name)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        return self.write(name, self.read(name).unionByName(conform(df, schemas.TABLES[name])))
+        at = self.added[name][-1] + 1
+        conform(df, schemas.TABLES[name]).write.mode("overwrite").parquet(f"{self.path(name)}/{at}")
+        self.added[name].append(at)
+        return self.read(name)
 
     def log_run(self, step: str, status: str, records: int | None = None, notes: str | None = None, started: str | None = None) -> None:
         now = now_iso()
@@ -58,12 +76,15 @@ def now_iso() -> str:
     return datetime.now(UTC).isoformat()
 
 
-def write_csv(df: DataFrame, path: str, always: bool = True) -> bool:
-    """One CSV file with a header; with ``always`` off only where there are rows. Arrays are joined by semicolons."""
+def write_csv(df: DataFrame, path: str, always: bool = True, single: bool = False) -> bool:
+    """CSV files with a header, in the frame's order; with ``always`` off only where there are rows. Arrays are joined by semicolons.
+
+    ``single`` makes one file; only for results of a bounded size.
+    """
     if not always and not df.head(1):
         return False
     flat = df.select(*(F.array_join(F.col(n), "; ").alias(n) if t.startswith("array") else F.col(n) for n, t in df.dtypes))
-    flat.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    (flat.coalesce(1) if single else flat).write.mode("overwrite").option("header", True).csv(path)
     return True
 
 

@@ -55,6 +55,8 @@ def test_evidence_class_and_weight(spark):
 
 
 def test_evidence_doc_keys(spark):
+    told = values(spark, ['{"doc_keys": ["file 9", "EFTA00000001"], "doc_id": 77, "metadata": {"efta": "doj ogr 3"}}'], scoring.evidence_doc_keys)[0]
+    assert told[:2] == ["DOJ-OGR-00000003", "EFTA00000001"] and len(told) == 4 and all(x.startswith("RAW-") for x in told[2:])
     assert values(spark, ['{"a": ["efta00000001", "x DOJ-OGR-5 y"], "b": {"c": "RAW-0123456789ab EFTA00000001"}}'], scoring.evidence_doc_keys) == [["DOJ-OGR-00000005", "EFTA00000001", "RAW-0123456789ab"]]
 
 

@@ -186,12 +186,12 @@ def test_merge_aliases_and_ids(spark):
 PERSON = "canonical_id string, entity_type string, canonical_name string, aliases array<string>, metadata string"
 
 
-def test_merges(spark):
+def test_merges(spark, written):
     e = spark.createDataFrame([("P1", "person", "Ada Quist", None, "{}"), ("P2", "person", "MR. ADA QUIST", None, "{}"), ("P3", "person", "Mr. Lind", None, "{}"), ("P4", "person", "Bo Lind", None, "{}"), ("O1", "organization", "Ada Quist", None, "{}")], PERSON)
     r = spark.createDataFrame([(1, "P1", "P4", "x", 1.0), (2, "P2", "P4", "x", 5.0), (3, "P1", "P2", "x", 1.0)], EDGE).withColumn("source_documents", F.array(F.concat(F.lit("EFTA00000"), "relationship_id")))
     found = cleanup.merge_candidates(e, r)
     assert sorted((x.survivor_id, x.absorbed_id, x.reason, x["pass"]) for x in found.collect()) == [("P1", "P2", "title_prefix; all_caps_variant", 1), ("P4", "P3", "lastname_only_unambiguous", 2)]
-    merges = cleanup.applied_merges(spark, found)
+    merges = cleanup.applied_merges(spark, found, written)
     s = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (3, 3, "c")], "id long, relationship_id long, source_system string")
     log = spark.createDataFrame([("P2", "x")], "canonical_id string, source_system string")
     out = cleanup.apply_merges({"canonical_entities": e, "relationships": r, "relationship_sources": s, "entity_resolution_log": log}, merges)
@@ -322,3 +322,36 @@ def test_validation(spark, edges):
     assert rows(validate.orphans(edges, e)) == [(4, "b", "c")]
     assert [(r.name, r.ids) for r in validate.duplicate_names(e).collect()] == [("ada", "a, b")]
     assert {r.direction for r in validate.connections(edges, e, "a").collect()} == {"in", "out"}
+
+
+def test_merges_in_rounds_follow_the_ordered_replay(spark, written):
+    import random
+
+    r = random.Random(3)
+    pairs = [(1, f"k{r.randrange(12)}", f"e{r.randrange(25)}", f"e{r.randrange(25)}") for _ in range(60)]
+    df = spark.createDataFrame(pairs, "pass int, match_key string, survivor_id string, absorbed_id string")
+    want = cleanup.replay((s, a) for _, _, s, a in sorted(set(pairs)))
+    assert {x.absorbed_id: x.survivor_id for x in cleanup.applied_merges(spark, df, written).collect()} == want
+    assert cleanup.applied_merges(spark, df.where("false"), written).count() == 0
+
+
+def test_long_phrases_and_many_aliases(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    pages = spark.createDataFrame([(1, "d", f"x {text} y"), (2, "e", text.replace("fourteen", "more"))], "page int, doc string, text string")
+    hits = corpus.phrase_hits(pages, spark.createDataFrame([(text.title(),), ("five six",)], "term string"))
+    assert rows(hits.select("page", "term")) == [(1, text.title()), (1, "five six"), (2, "five six")]
+    assert corpus.phrase_hits(pages, spark.createDataFrame([], "term string")).count() == 0
+    registry = spark.createDataFrame([("A", "Zed Quux", [f"Nobody Like{k:05d}" for k in range(1500)] + ["Anna Lindqvist"], 1), ("B", "Anna Lindqvisd", None, 2)], "canonical_id string, canonical_name string, aliases array<string>, seq long")
+    probes = spark.createDataFrame([(1, "Anna Lindqviss")], "key int, name string")
+    assert [(r.canonical_id, r.match_method) for r in resolve.resolve(probes, registry).collect()] == [("A", "fuzzy")]  # a tie goes to the first entry
+
+
+def test_metadata_fields(spark):
+    entities = spark.createDataFrame([("a", '{"x": 1, "roles": {"p": 2}}'), ("b", None), ("c", "{}")], "canonical_id string, metadata string")
+    added = spark.createDataFrame([("a", '{"x": 5, "y": true, "roles": {"p": 1, "q": 1}}'), ("b", '{"z": "t"}')], "canonical_id string, fields string")
+    import json
+
+    got = {r.canonical_id: json.loads(r.metadata) for r in cleanup.with_metadata(entities, added).collect()}
+    assert got == {"a": {"x": 5, "y": True, "roles": {"p": 3, "q": 1}}, "b": {"z": "t"}, "c": {}}
+    filled = {r.canonical_id: json.loads(r.metadata) for r in cleanup.with_metadata(entities, added.select("canonical_id", F.get_json_object("fields", "$.x").alias("x")).where("x is not null").select("canonical_id", F.lit('{"x": 5, "y": true}').alias("fields")), fill=True).collect() if r.metadata}
+    assert filled == {"a": {"x": 1, "y": True, "roles": {"p": 2}}, "c": {}}

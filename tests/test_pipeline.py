@@ -20,7 +20,7 @@ def files(tmp_path):
 
 
 PERSONS = [{"name": "Ada Quist", "slug": "ada", "aliases": ["A. Quist"], "category": "business"}, {"name": "[REDACTED]", "slug": "r"}, {"name": "Boris Lind", "slug": "boris"}]
-ENTITIES = [{"id": 1, "name": "Ada Quist", "aliases": '["Adda Quist"]', "metadata": "{}"}, {"id": 2, "name": "Cyd Marsh", "metadata": "{}"}, {"id": 3, "name": "Quist Works", "entity_type": "organization", "metadata": "{}"}]
+ENTITIES = [{"id": 1, "name": "Ada Quist", "aliases": '["Adda Quist"]', "metadata": '{"occupation": "pilot", "person_type": "crew"}'}, {"id": 2, "name": "Cyd Marsh", "metadata": "{}"}, {"id": 3, "name": "Quist Works", "entity_type": "organization", "metadata": "{}"}]
 EDGES = [{"id": 1, "source_entity_id": 1, "target_entity_id": 2, "relationship_type": "associated_with", "weight": 2.0, "date_first": "2008-06-01", "metadata": '{"efta": "EFTA00000001"}'}, {"id": 2, "source_entity_id": 1, "target_entity_id": 9, "relationship_type": "x", "weight": 1.0, "metadata": "{}"}]
 DEDUPE = {"people": {"A Quist": "Ada Quist", "Dee Novak": "Dee Novak", "Marsh, Cyd": "Cyd Marsh"}, "organizations": {"QW": "Quist Works"}, "locations": {"X": "Xanten"}}
 ANALYSES = {"EFTA00000002": {"analysis": {"key_people": [{"name": "A Quist", "role": "owner"}, {"name": "Dee Novak"}, {"name": "Marsh, Cyd"}]}}, "EFTA00000003": [{"analysis": {"key_people": [{"name": "A Quist"}, {"name": "Dee Novak"}]}}]}
@@ -77,6 +77,20 @@ def test_whole_pipeline(spark, tmp_path, files):
     assert edges["Ada Quist", "Dee Novak", "associated_with"].weight == 5.0
     systems = {r.source_system for r in pipeline.store.read("relationship_sources").collect()}
     assert systems == {"registry", "documents", "triples", "corpus"}
+    told = {n: json.loads(r.metadata) for n, r in entities.items()}
+    assert told["Ada Quist"]["category"] == "business" and told["Ada Quist"]["occupation"] == "pilot" and told["Ada Quist"]["observed_roles"] == {"owner": 1}
+    assert told["Ada Quist"]["corpus_document_count"] == 4 and told["Dee Novak"]["source_system"] == "documents"
+    triple = edges["Ada Quist", "Dee Novak", "associated_with"]
+    assert len(triple.source_documents) == 7 and all(d.startswith("RAW-") for d in triple.source_documents)
+    evidence = {(r.relationship_id, r.source_system): json.loads(r.source_evidence) for r in pipeline.store.read("relationship_sources").collect()}
+    known = evidence[triple.relationship_id, "triples"]
+    assert known["document_count"] == 7 and len(known["doc_key_sample"]) == 7 and known["action_counts"] == {"met with": 7}
+    assert set(edges["Ada Quist", "Cyd Marsh", "associated_with"].source_documents) >= {"EFTA00000001", "EFTA00000002"}
+    log = pipeline.store.read("entity_resolution_log").where("source_system = 'documents'").collect()
+    assert all(json.loads(r.match_details)["entity_type_key"] in ("people", "organizations", "locations") for r in log)
+    assert {"EFTA00000001", "EFTA00000002", "EFTA00000003"} <= {r.doc_key for r in pipeline.store.read("document_ids").collect()}
+    clash = {r.record_id: (r.value_a, r.value_b) for r in pipeline.store.read("conflicts").where("entity_or_relationship = 'entity'").collect()}
+    assert next(k for k, n in name.items() if n == "Ada Quist") in clash
     assert "Ada Quist" in pipeline.summary
     assert [r.event for r in spark.read.csv(str(tmp_path / "run/output/temporal_anomalies"), header=True).collect()] == ["event"]
     assert pipeline.store.read("pipeline_runs").count() == len(STEPS)
@@ -98,11 +112,25 @@ def test_modes(spark, tmp_path):
 def test_streaming_crosswalk(spark, tmp_path):
     refs = str(tmp_path / "refs")
     schema = "raw string, seq bigint"
-    walk = Crosswalk(spark, str(tmp_path / "walk"))
     for k, rows in enumerate(([("EFTA000001 DOJ OGR 7", 1), ("x", 2)], [("DOJ-OGR-7", 3), ("x", 4)])):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(refs)
+        walk = Crosswalk(spark, str(tmp_path / "walk"))  # a new object for each batch: the state is in the folder
         query = walk.start(spark.readStream.schema(schema).parquet(refs), str(tmp_path / "check"))
         query.awaitTermination(60)
         assert walk.batch == k
     got = {r.doc_key: (r.efta, r.ogr, r.seq) for r in walk.read().collect()}
     assert got["EFTA000001"] == ("EFTA000001", "DOJ-OGR-00000007", 3) and len(got) == 2
+    again = Crosswalk(spark, str(tmp_path / "walk"))
+    again.upsert(spark.createDataFrame([("DOJ-OGR-7", 3), ("x", 4)], schema), 1)  # delivered once more
+    assert {r.doc_key: (r.efta, r.ogr, r.seq) for r in again.read().collect()} == got and again.batch == 1
+
+
+def test_store_goes_on_where_it_was(spark, tmp_path):
+    first = sinks.Store(spark, str(tmp_path / "s")).create()
+    first.log_run("a", "completed", 1)
+    first.log_run("b", "completed", 2)
+    first.write("conflicts", spark.createDataFrame([("x",)], "record_id string"))
+    second = sinks.Store(spark, str(tmp_path / "s"))
+    assert [r.step_name for r in second.read("pipeline_runs").orderBy("started_at").collect()] == ["a", "b"]
+    assert second.version == first.version and second.read("conflicts").count() == 1
+    assert second.append("conflicts", spark.createDataFrame([("y",)], "record_id string")).count() == 2
