@@ -9,6 +9,7 @@ from .. import config
 from . import graph
 
 MIN_NAME = 4
+KEY = 3  # tokens of a phrase that pages are searched for first
 
 
 def tokens(c: Column) -> Column:
@@ -25,24 +26,27 @@ def search_names(entities: DataFrame, min_length: int = MIN_NAME) -> DataFrame:
 def phrase_hits(pages: DataFrame, terms: DataFrame) -> DataFrame:
     """(page, doc, term), distinct: terms, of any length, whose tokens stand one after another on a page.
 
-    ``pages`` has (page, doc, text); ``terms`` has (term). A page is turned into its distinct runs of tokens of the
-    lengths that terms have, and runs meet terms as wholes: a frequent word alone is no key, and a term is never
-    compared with places where only its beginning stands. The join is inside the scan where the terms are few.
+    ``pages`` has (page, doc, text); ``terms`` has (term). Pages and terms meet on a term's first ``KEY`` tokens, or all
+    where it has fewer, so a frequent word alone is no key; longer terms are then looked for in their candidates' pages.
     """
     phrases = terms.select("term").distinct().withColumn("t", tokens(F.col("term"))).where(F.size("t") > 0)
-    phrases = phrases.select("term", F.size("t").alias("size"), F.array_join("t", " ").alias("run"))
-    sizes = sorted(r["size"] for r in phrases.select("size").distinct().collect())  # as many as there are lengths
+    phrases = phrases.select("term", F.size("t").alias("size"), F.array_join("t", " ").alias("phrase"), F.array_join(F.slice("t", 1, KEY), " ").alias("key"))
+    sizes = sorted(r.n for r in phrases.select(F.least("size", F.lit(KEY)).alias("n")).distinct().collect())  # KEY rows at most
+    longer = bool(phrases.where(F.col("size") > KEY).head(1))
     split = pages.select("page", "doc", tokens(F.col("text")).alias("t"))
     none = F.array().cast("array<string>")
 
     def runs(n: int) -> Column:
-        if n == 1:
-            return F.col("t")
-        starts = F.sequence(F.lit(1), F.greatest(F.size("t") - n + 1, F.lit(1)))
-        return F.when(F.size("t") >= n, F.transform(starts, lambda i: F.array_join(F.slice("t", i, n), " "))).otherwise(none)
-
-    every = split.select("page", "doc", F.explode(F.array_distinct(F.concat(none, *map(runs, sizes)))).alias("run"))
-    return every.join(phrases.select("term", "run"), "run").select("page", "doc", "term").distinct()
+        starts = F.slice("t", F.lit(1), F.greatest(F.size("t") - (n - 1), F.lit(0)))
+        return F.col("t") if n == 1 else F.transform(starts, lambda x, i: F.concat_ws(" ", x, *(F.get("t", i + k) for k in range(1, n))))
+
+    every = split.select("page", "doc", F.explode(F.array_distinct(F.concat(none, *map(runs, sizes)))).alias("key"))
+    found = every.join(phrases, "key").select("page", "doc", "term", "phrase", "size")
+    if longer:
+        spaced = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+        whole = split.select("page", "doc", spaced(F.array_join("t", " ")).alias("spaced"))
+        found = found.join(whole, ["page", "doc"]).where((F.col("size") <= KEY) | F.contains("spaced", spaced(F.col("phrase"))))
+    return found.select("page", "doc", "term").distinct()
 
 
 def substring_hits(pages: DataFrame, terms: DataFrame, block: int = 500) -> DataFrame:

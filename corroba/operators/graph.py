@@ -124,6 +124,7 @@ def communities(graph: DataFrame, rounds: int = 10, materialise=None) -> DataFra
     parts from swapping for ever. ``materialise`` cuts the lineage after each round (a function DataFrame -> DataFrame).
     """
     near = graph.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("neighbour"), "weight"), F.struct(F.col("b").alias("node"), F.col("a").alias("neighbour"), "weight"))).alias("e")).select("e.*")
+    near = near if materialise is None else materialise(near)
     strength = near.groupBy("node").agg(F.sum("weight").alias("k"))
     total = strength.agg(F.sum("k").alias("m"))  # one row
     labels = strength.select("node", "k", F.col("node").alias("community"))

@@ -71,8 +71,10 @@ def fuzzy_match(probes: DataFrame, registry_names: DataFrame, cutoff: float = co
     """
     left = probes.where(~names.is_numbered_reference(F.col("name"))).select("key", names.normalize_name(F.col("name")).alias("n")).select("key", F.length("n").alias("size"), similarity.token_sort(F.col("n")).alias("a"))
     right = registry_names.select(F.struct("pos", "canonical_id").alias("id"), similarity.token_sort(names.normalize_name(F.col("name"))).alias("b"))
-    scored = similar_candidates(left.select("key", "a"), right, cutoff).withColumn("score", similarity.sorted_ratio("a", "b")).where(F.col("score") >= cutoff)
-    best = scored.groupBy("key").agg(F.min_by(F.struct("score", "id"), F.struct(-F.col("score"), F.col("id.pos"))).alias("m")).join(left.select("key", "size"), "key")
+    # equal names have equal ratios: one of each meets, the registry's first, and the best is carried back to every probe
+    right = right.groupBy("b").agg(F.min("id").alias("id"))
+    scored = similar_candidates(left.select(F.col("a").alias("key"), "a").distinct(), right, cutoff).withColumn("score", similarity.sorted_ratio("a", "b")).where(F.col("score") >= cutoff)
+    best = scored.groupBy("a").agg(F.min_by(F.struct("score", "id"), F.struct(-F.col("score"), F.col("id.pos"))).alias("m")).join(left, "a")
     good = (F.col("size") > config.SHORT_NAME) | (F.col("m.score") >= config.SHORT_CUTOFF)
     return best.where(good).select("key", F.col("m.id.canonical_id").alias("canonical_id"), F.lit("fuzzy").alias("match_method"), (F.col("m.score") / 100).alias("match_confidence"))
 

@@ -35,10 +35,10 @@ SQL: dict[str, str] = {
         FROM ({lines}) x GROUP BY relationship_id, source_entity_id, target_entity_id, relationship_type""",
     "sources": """SELECT min(l_orderkey * 10 + l_linenumber) AS id, relationship_id, source_system, max(CASE WHEN l_linestatus = 'F' THEN relationship_type ELSE 'associated_with' END) AS source_relationship_type
         FROM ({lines}) x GROUP BY relationship_id, source_system""",
-    # suppliers named together in a returned, large order
-    "mentions": """SELECT 'EFTA' || lpad(CAST(l_orderkey AS STRING), 8, '0') AS doc_key, l_suppkey AS pos, 'ORG-' || lpad(CAST(l_suppkey AS STRING), 5, '0') AS canonical_id
-        FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity >= 40 GROUP BY l_orderkey, l_suppkey""",
-    "mentions_edges": """SELECT CAST(substr(a, 5) AS BIGINT) * 1000000 + CAST(substr(b, 5) AS BIGINT) AS relationship_id, a AS source_entity_id, b AS target_entity_id, 'co_documented' AS relationship_type, CAST(count(*) AS DOUBLE) AS weight
+    # parts named together in an order
+    "mentions": """SELECT 'EFTA' || lpad(CAST(l_orderkey AS STRING), 8, '0') AS doc_key, l_partkey AS pos, 'ITM-' || lpad(CAST(l_partkey AS STRING), 9, '0') AS canonical_id
+        FROM {lineitem} GROUP BY l_orderkey, l_partkey""",
+    "mentions_edges": """SELECT CAST(substr(a, 5) AS BIGINT) * 1000000000 + CAST(substr(b, 5) AS BIGINT) AS relationship_id, a AS source_entity_id, b AS target_entity_id, 'co_documented' AS relationship_type, CAST(count(*) AS DOUBLE) AS weight
         FROM (SELECT m.canonical_id AS a, n.canonical_id AS b FROM ({mentions}) m JOIN ({mentions}) n ON m.doc_key = n.doc_key AND m.canonical_id < n.canonical_id) p GROUP BY a, b""",
     "triples": """SELECT l_orderkey * 10 + l_linenumber AS seq, l_suppkey AS actor, o_custkey AS target,
         CASE (l_orderkey + l_linenumber) % 7 WHEN 0 THEN 'traveled with' WHEN 1 THEN 'recalled by phone' WHEN 2 THEN 'was paid by' WHEN 3 THEN 'represented' WHEN 4 THEN 'met with' WHEN 5 THEN 'wrote about' ELSE 'emailed' END AS action FROM ({lines}) x""",
@@ -46,7 +46,7 @@ SQL: dict[str, str] = {
         WHEN 2 THEN ' file no. ' || CAST(o_orderkey AS STRING) || ' ' WHEN 3 THEN '' ELSE 'DOJ-OGR-' || CAST(o_orderkey - 3 AS STRING) || ' EFTA' || lpad(CAST(o_orderkey AS STRING), 7, '0') END AS raw FROM {orders}""",
     "log": """SELECT CASE c_custkey % 3 WHEN 0 THEN 'registry' WHEN 1 THEN 'documents' ELSE 'triples' END AS source_system, CAST(c_custkey AS STRING) AS source_entity_id, c_name AS source_entity_name,
         'PER-' || lpad(CAST(c_custkey AS STRING), 5, '0') AS canonical_id, CASE c_custkey % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'alias' WHEN 2 THEN 'fuzzy' ELSE 'new_entity' END AS match_method,
-        CAST(CASE c_custkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.95 WHEN 2 THEN 0.9 + (c_custkey % 10) * 0.01 ELSE 1.0 END AS DOUBLE) AS match_confidence FROM {customer} WHERE c_custkey % 11 <> 5""",
+        CAST(CASE c_custkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.95 WHEN 2 THEN 0.9 + (c_custkey % 10) * 0.01 ELSE 1.0 END AS DOUBLE) AS match_confidence FROM {customer}""",
     # two systems' categories of each person
     "categories": """SELECT 'PER-' || lpad(CAST(c_custkey AS STRING), 5, '0') AS canonical_id, 'registry' AS source_system, CASE WHEN c_custkey % 6 = 0 THEN 'associate' ELSE lower(c_mktsegment) END AS category, 1 AS seq FROM {customer}
         UNION ALL SELECT 'PER-' || lpad(CAST(c_custkey AS STRING), 5, '0'), 'documents', CASE WHEN c_custkey % 5 = 0 THEN 'other' WHEN c_custkey % 17 = 0 THEN 'victim' ELSE lower(c_mktsegment) END, 2 FROM {customer} WHERE c_custkey % 7 <> 0""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,17 +84,18 @@ _POINTS = f"SELECT relationship_id, count(*) AS num_sources, CAST(sum(w) AS DOUB
 _TOKENS = "list_filter(string_split_regex(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 _SPACED = f"' ' || array_to_string({_TOKENS}, ' ') || ' '"
 
-# phrases: the first two tokens of each benchmark item
-_PHRASES = f"phrases AS (SELECT item_id, array_to_string(list_slice({_TOKENS.format(x='text')}, 1, 2), ' ') AS term FROM benchmark)"
-_HITS = f"hits AS (SELECT DISTINCT p.page, p.doc, t.term FROM (SELECT page, doc, {_SPACED.format(x='text')} AS s FROM pages) p JOIN (SELECT DISTINCT term FROM phrases WHERE term <> '') t ON contains(p.s, ' ' || t.term || ' '))"
+# phrases: every sentence of every benchmark item, as its tokens; ``pid`` numbers them
+_PHRASES = f"phrases AS (SELECT item_id, pos, item_id * 100 + pos AS pid, term FROM (SELECT item_id, pos, array_to_string({_TOKENS.format(x='sentence')}, ' ') AS term FROM (SELECT item_id, generate_subscripts(s, 1) - 1 AS pos, unnest(s) AS sentence FROM (SELECT item_id, string_split_regex(coalesce(text, ''), '[.?!\n]') AS s FROM benchmark) a) b) c WHERE term <> '')"
+_HITS = f"hits AS (SELECT DISTINCT p.page, p.doc, t.term FROM (SELECT page, doc, {_SPACED.format(x='text')} AS s FROM pages) p JOIN (SELECT DISTINCT term FROM phrases) t ON contains(p.s, ' ' || t.term || ' '))"
 
 
 def _phrases(at) -> DataFrame:
-    return at("benchmark").select("item_id", F.array_join(F.slice(corpus.tokens(F.col("text")), 1, 2), " ").alias("term"))
+    sentences = at("benchmark").select("item_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "[.?!\\n]")).alias("pos", "sentence"))
+    return sentences.select("item_id", "pos", (F.col("item_id") * 100 + F.col("pos")).alias("pid"), F.array_join(corpus.tokens(F.col("sentence")), " ").alias("term")).where("term <> ''")
 
 
 def _hits(at) -> DataFrame:
-    return corpus.phrase_hits(at("pages"), _phrases(at).where("term <> ''"))
+    return corpus.phrase_hits(at("pages"), _phrases(at))
 
 
 def _sources(at) -> DataFrame:
@@ -289,20 +292,35 @@ def hub_pairs_without_edge(at):
 
 
 def _written(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage in the session's checkpoint folder."""
+    """``df`` cut from its lineage in the session's checkpoint folder; only a single machine may leave it unset."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.conf.set("spark.checkpoint.dir", f"/tmp/checkpoints/{spark.sparkContext.applicationId}")
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-    return df.checkpoint()
+    path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/query-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-@query()
+def _communities_sql(rounds: int = 10) -> str:
+    """The rounds of ``graph.communities`` one after another; the last is ``l{rounds}``."""
+    parts = ["n AS MATERIALIZED (SELECT source_entity_id AS node, target_entity_id AS neighbour, weight FROM mentions_edges UNION ALL SELECT target_entity_id, source_entity_id, weight FROM mentions_edges), k AS MATERIALIZED (SELECT node, sum(weight) AS k FROM n GROUP BY node), m AS MATERIALIZED (SELECT sum(k) AS m FROM k), l0 AS MATERIALIZED (SELECT node, node AS c FROM k)"]
+    for t in range(rounds):
+        parts.append(
+            f"h{t} AS MATERIALIZED (SELECT c, sum(k) AS held FROM l{t} JOIN k USING (node) GROUP BY c), v{t} AS MATERIALIZED (SELECT node, c, sum(w) AS w FROM (SELECT n.node, l.c, n.weight AS w FROM n JOIN l{t} l ON l.node = n.neighbour UNION ALL SELECT node, c, 0.0::DOUBLE FROM l{t}) x GROUP BY 1, 2), "
+            f"b{t} AS MATERIALIZED (SELECT node, own, c FROM (SELECT v.node, l.c AS own, v.c, row_number() OVER (PARTITION BY v.node ORDER BY w - k * (held - CASE WHEN v.c = l.c THEN k ELSE 0.0::DOUBLE END) / m DESC, v.c) AS r FROM v{t} v JOIN l{t} l ON l.node = v.node JOIN k ON k.node = v.node JOIN h{t} h ON h.c = v.c, m) x WHERE r = 1), "
+            f"l{t + 1} AS MATERIALIZED (SELECT node, CASE WHEN (substr(md5(node), 32, 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e')) = {str(t % 2 == 0).upper()} THEN c ELSE own END AS c FROM b{t})"
+        )
+    return ", ".join(parts)
+
+
+@query(f", {_communities_sql()} SELECT node, c AS community FROM l10", "mentions", "mentions_edges")
 def communities(at):
     return graph.communities(graph.simple_graph(at("mentions_edges")), materialise=_written)
 
 
-@query()
+@query(f", {_communities_sql()} SELECT n.node, count(DISTINCT l.c) AS communities_connected, count(*) AS degree, count(DISTINCT l.c) * count(*) AS bridge_score FROM n JOIN l10 l ON l.node = n.neighbour GROUP BY n.node HAVING count(DISTINCT l.c) >= 2", "mentions", "mentions_edges")
 def community_bridges(at):
     g = graph.simple_graph(at("mentions_edges"))
     return graph.community_bridges(g, graph.communities(g, materialise=_written))
@@ -325,13 +343,13 @@ _RECORDS = (
 
 @query(f", {_RECORDS} SELECT relationship_id, source_name, target_name, relationship_type, weight, num_sources, round(evidence_points, 6) AS evidence_points, num_documents, source_prominence, target_prominence, round(score, 9) AS corroboration_score FROM records", "lines", "entities", "relationships", "sources")
 def corroboration_score(at):
-    rows = evidence.corroboration(_edges(at), at("entities"), _sources(at))
+    rows = evidence.corroboration(at("relationships"), at("entities"), _sources(at), at("lines"))
     return rows.select("relationship_id", "source_name", "target_name", "relationship_type", "weight", "num_sources", F.round("evidence_points", 6).alias("evidence_points"), "num_documents", "source_prominence", "target_prominence", F.round("corroboration_score", 9).alias("corroboration_score"))
 
 
 @query(f", {_RECORDS} SELECT round(round(score, 9), 1) AS score, count(*) AS n FROM records GROUP BY 1", "lines", "entities", "relationships", "sources")
 def score_histogram(at):
-    rows = evidence.corroboration(_edges(at), at("entities"), _sources(at))
+    rows = evidence.corroboration(at("relationships"), at("entities"), _sources(at), at("lines"))
     return evidence.score_histogram(rows.withColumn("corroboration_score", F.round("corroboration_score", 9)))
 
 
@@ -340,7 +358,7 @@ _WEAK = f"weak AS (SELECT x.*, greatest(source_prominence, target_prominence) AS
 
 @query(f", {_RECORDS}, {_WEAK} SELECT relationship_id, source_name, target_name, max_entity_prominence FROM weak", "lines", "entities", "relationships", "sources")
 def weak_relationships(at):
-    rows = evidence.weak(evidence.corroboration(_edges(at), at("entities"), _sources(at)))
+    rows = evidence.weak(evidence.corroboration(at("relationships"), at("entities"), _sources(at), at("lines")))
     return rows.select("relationship_id", "source_name", "target_name", "max_entity_prominence")
 
 
@@ -386,11 +404,11 @@ def _form_list(x: str) -> str:
 
 
 def _registry(at) -> DataFrame:
-    return at("raw_names").where("key < 300 and key % 15 in (0, 4)").select(F.concat(F.lit("PER-"), F.lpad(F.col("key").cast("string"), 5, "0")).alias("canonical_id"), F.col("name").alias("canonical_name"), F.lit(None).cast("array<string>").alias("aliases"), F.col("key").alias("seq"))
+    return at("raw_names").where("key % 15 in (0, 4)").select(F.concat(F.lit("PER-"), F.lpad(F.col("key").cast("string"), 5, "0")).alias("canonical_id"), F.col("name").alias("canonical_name"), F.lit(None).cast("array<string>").alias("aliases"), F.col("key").alias("seq"))
 
 
 _MATCH = (
-    f"registry AS (SELECT 'PER-' || lpad(CAST(key AS STRING), 5, '0') AS canonical_id, name AS canonical_name, key AS seq FROM raw_names WHERE key < 300 AND key % 15 IN (0, 4)), "
+    f"registry AS (SELECT 'PER-' || lpad(CAST(key AS STRING), 5, '0') AS canonical_id, name AS canonical_name, key AS seq FROM raw_names WHERE key % 15 IN (0, 4)), "
     f"idx AS (SELECT form, max_by(canonical_id, seq) AS canonical_id, max_by(lower(canonical_name), seq) AS canonical_form FROM (SELECT canonical_id, canonical_name, seq, unnest({_form_list('canonical_name')}) AS form FROM registry) u WHERE form <> '' GROUP BY form), "
     f"told AS (SELECT key, unnest({_form_list('name')}) AS form, unnest([1, 2, 3]) AS place FROM raw_names), "
     "hit AS (SELECT key, min_by(i.canonical_id, place) AS canonical_id, min_by(CASE WHEN t.form = i.canonical_form THEN 'exact' ELSE 'alias' END, place) AS match_method FROM told t JOIN idx i ON i.form = t.form GROUP BY key)"
@@ -409,7 +427,7 @@ def _sorted_sql(x: str) -> str:
     return f"array_to_string(list_sort(string_split({_squeeze(x)}, ' ')), ' ')"
 
 
-@query(f", probes AS (SELECT key, {_sorted_sql(sql_normal('name'))} AS a FROM raw_names), targets AS (SELECT DISTINCT {_sorted_sql(sql_normal('name'))} AS b FROM raw_names WHERE key < 300 AND key % 15 IN (0, 4)) SELECT key, a, b FROM probes, targets WHERE a <> '' AND b <> '' AND abs(length(a) - length(b)) <= {_ROOM} AND levenshtein(a, b) <= {_ROOM}", "raw_names")
+@query(f", probes AS (SELECT key, {_sorted_sql(sql_normal('name'))} AS a FROM raw_names), targets AS (SELECT DISTINCT {_sorted_sql(sql_normal('name'))} AS b FROM raw_names WHERE key % 15 IN (0, 4)) SELECT key, a, b FROM probes, targets WHERE a <> '' AND b <> '' AND abs(length(a) - length(b)) <= {_ROOM} AND levenshtein(a, b) <= {_ROOM}", "raw_names")
 def fuzzy_candidates(at):
     from ..functions.similarity import token_sort
 
@@ -456,7 +474,17 @@ def lastname_candidates(at):
     return cleanup.last_name_candidates(people, cleanup.merge_by_clean_name(people, at("relationships")))
 
 
-@query()
+_LONE = "rest AS (SELECT id, name, string_split(clean, ' ') AS w FROM people WHERE clean <> '' AND id NOT IN (SELECT absorbed_id FROM pass1)), cand AS (SELECT l.id AS absorbed_id, l.name AS absorbed_name, l.w[1] AS last_name, f.id AS candidate_id, count(*) OVER (PARTITION BY l.id) AS n FROM rest l JOIN rest f ON len(l.w) = 1 AND len(f.w) >= 2 AND f.w[-1] = l.w[1])"
+_OVERLAP = (
+    "pairs AS (SELECT DISTINCT source_entity_id AS s, target_entity_id AS t FROM relationships), near AS (SELECT s AS node, t AS neighbour FROM pairs UNION ALL SELECT t, s FROM pairs), degree AS (SELECT node, count(*) AS d FROM near GROUP BY node), "
+    "scored AS (SELECT c.*, coalesce(x.shared, 0) AS shared, CASE WHEN coalesce(da.d, 0) + coalesce(db.d, 0) - coalesce(x.shared, 0) > 0 THEN coalesce(x.shared, 0) / (coalesce(da.d, 0) + coalesce(db.d, 0) - coalesce(x.shared, 0)) ELSE 0.0 END AS jaccard FROM cand c "
+    "LEFT JOIN (SELECT c.absorbed_id, c.candidate_id, count(*) AS shared FROM cand c JOIN near p ON p.node = c.absorbed_id JOIN near q ON q.node = c.candidate_id AND q.neighbour = p.neighbour GROUP BY 1, 2) x USING (absorbed_id, candidate_id) LEFT JOIN degree da ON da.node = c.absorbed_id LEFT JOIN degree db ON db.node = c.candidate_id WHERE n > 1), "
+    "ranked AS (SELECT *, row_number() OVER w AS r, coalesce(lead(jaccard) OVER w, 0.0) AS second FROM scored WINDOW w AS (PARTITION BY absorbed_id ORDER BY jaccard DESC, candidate_id))"
+)
+_FROM = """last_name || ' (from "' || absorbed_name || '")' AS match_key, 2 AS pass"""
+
+
+@query(f", {_CLEAN}, {_PEOPLE}, {_PASS1}, {_LONE}, {_OVERLAP} SELECT survivor_id, absorbed_id, reason, match_key, 1 AS pass FROM pass1 UNION ALL SELECT candidate_id, absorbed_id, 'lastname_only_unambiguous', {_FROM} FROM cand WHERE n = 1 UNION ALL SELECT candidate_id, absorbed_id, 'lastname_only_graph_disambiguated', {_FROM} FROM ranked WHERE r = 1 AND jaccard >= 0.05 AND jaccard > second * 1.5", "lines", "raw_names", "relationships")
 def merge_candidates(at):
     return cleanup.merge_candidates(_people(at), at("relationships"))
 
@@ -498,37 +526,37 @@ def phrase_doc_counts(at):
     return corpus.document_counts(_hits(at))
 
 
-# each item's phrase with the next item's
-@query(f", {_PHRASES}, {_HITS}, pairs AS (SELECT DISTINCT least(p.term, q.term) AS term_a, greatest(p.term, q.term) AS term_b FROM phrases p JOIN phrases q ON q.item_id = p.item_id + 1 WHERE p.term <> q.term) SELECT term_a, term_b, count(DISTINCT a.doc) AS document_count FROM pairs JOIN hits a ON a.term = term_a JOIN hits b ON b.term = term_b AND a.page = b.page GROUP BY 1, 2", "pages")
+# each sentence with the next of its item
+@query(f", {_PHRASES}, {_HITS}, pairs AS (SELECT DISTINCT least(p.term, q.term) AS term_a, greatest(p.term, q.term) AS term_b FROM phrases p JOIN phrases q ON q.pid = p.pid + 1 WHERE p.term <> q.term) SELECT term_a, term_b, count(DISTINCT a.doc) AS document_count FROM pairs JOIN hits a ON a.term = term_a JOIN hits b ON b.term = term_b AND a.page = b.page GROUP BY 1, 2", "pages")
 def phrase_cooccurrence(at):
     terms = _phrases(at)
-    following = terms.select((F.col("item_id") - 1).alias("item_id"), F.col("term").alias("other"))
-    pairs = terms.join(following, "item_id").where("term <> other").select(F.least("term", "other").alias("term_a"), F.greatest("term", "other").alias("term_b")).distinct()
+    following = terms.select((F.col("pid") - 1).alias("pid"), F.col("term").alias("other"))
+    pairs = terms.join(following, "pid").where("term <> other").select(F.least("term", "other").alias("term_a"), F.greatest("term", "other").alias("term_b")).distinct()
     return corpus.phrase_cooccurrence(_hits(at), pairs).select("term_a", "term_b", "document_count")
 
 
-# an entity for every four items; its variants in the order of the items
-_VARIANTS = "v AS (SELECT CAST(floor(item_id / 4) AS BIGINT) AS canonical_id, item_id % 4 AS pos, term FROM phrases), counts AS (SELECT term, count(DISTINCT doc) AS n FROM hits GROUP BY term)"
+# an entity for every item; its sentences are the variants
+_VARIANTS = "v AS (SELECT item_id AS canonical_id, pos, term FROM phrases), counts AS (SELECT term, count(DISTINCT doc) AS n FROM hits GROUP BY term)"
 
 
-@query(f", {_PHRASES}, {_HITS}, {_VARIANTS} SELECT canonical_id, max_by(term, n * 10 - pos) AS search_term, max(n) AS document_count FROM v JOIN counts USING (term) GROUP BY canonical_id", "pages")
+@query(f", {_PHRASES}, {_HITS}, {_VARIANTS} SELECT canonical_id, max_by(term, n * 1000 - pos) AS search_term, max(n) AS document_count FROM v JOIN counts USING (term) GROUP BY canonical_id", "pages")
 def best_search_term(at):
-    variants = _phrases(at).select(F.floor(F.col("item_id") / 4).alias("canonical_id"), (F.col("item_id") % 4).alias("pos"), "term")
+    variants = _phrases(at).select(F.col("item_id").alias("canonical_id"), "pos", "term")
     return corpus.best_search_term(variants, corpus.document_counts(_hits(at)))
 
 
-@query(f", {_PHRASES} SELECT p.term, count(DISTINCT d.doc) AS document_count FROM (SELECT DISTINCT term FROM phrases WHERE term <> '') p JOIN pages d ON contains(lower(d.text), p.term) GROUP BY 1", "pages")
+@query(f", {_PHRASES} SELECT p.term, count(DISTINCT d.doc) AS document_count FROM (SELECT DISTINCT term FROM phrases) p JOIN pages d ON contains(lower(d.text), p.term) GROUP BY 1", "pages")
 def substring_doc_counts(at):
     pages = at("pages").withColumn("text", F.lower("text"))
-    return corpus.document_counts(corpus.substring_hits(pages, _phrases(at).where("term <> ''")))
+    return corpus.document_counts(corpus.substring_hits(pages, _phrases(at)))
 
 
-_NEXT = "next AS (SELECT p.item_id AS relationship_id, p.term AS term_a, q.term AS term_b FROM phrases p JOIN phrases q ON q.item_id = p.item_id + 1 WHERE p.term <> '' AND q.term <> '')"
+_NEXT = "next AS (SELECT p.pid AS relationship_id, p.term AS term_a, q.term AS term_b FROM phrases p JOIN phrases q ON q.pid = p.pid + 1)"
 
 
 @query(f", {_PHRASES}, {_HITS}, {_NEXT} SELECT relationship_id, count(DISTINCT x.doc) AS document_count, array_to_string(list_slice(list_sort(list(DISTINCT x.doc)), 1, 20), ',') AS sample FROM next JOIN hits x ON x.term = term_a JOIN hits y ON y.term = term_b AND y.page = x.page GROUP BY 1", "pages")
 def corpus_corroboration(at):
-    named = _phrases(at).where("term <> ''").select(F.col("item_id").alias("relationship_id"), F.col("item_id").cast("string").alias("canonical_id"), F.lit("person").alias("entity_type"), F.col("term").alias("canonical_name"))
+    named = _phrases(at).select(F.col("pid").alias("relationship_id"), F.col("pid").cast("string").alias("canonical_id"), F.lit("person").alias("entity_type"), F.col("term").alias("canonical_name"))
     following = named.select((F.col("relationship_id") - 1).alias("relationship_id"), F.col("canonical_id").alias("target_entity_id"))
     edges = named.select("relationship_id", F.col("canonical_id").alias("source_entity_id")).join(following, "relationship_id")
     rows = corpus.corroborate(named.drop("relationship_id"), edges, edges.select("relationship_id", F.lit("documents").alias("source_system")), at("pages"))
@@ -536,13 +564,13 @@ def corpus_corroboration(at):
 
 
 def _coverage_parts(at):
-    """Customers named after the benchmark's phrases, so that the corpus mentions some."""
-    named = _phrases(at).where("term <> ''").select(F.concat(F.lit("PER-"), F.lpad(F.col("item_id").cast("string"), 5, "0")).alias("canonical_id"), F.lit("person").alias("entity_type"), F.col("term").alias("canonical_name"), F.lit(None).cast("array<string>").alias("aliases"))
+    """Customers named after the benchmark's sentences, so that the corpus mentions some."""
+    named = _phrases(at).select(F.concat(F.lit("PER-"), F.lpad(F.col("pid").cast("string"), 5, "0")).alias("canonical_id"), F.lit("person").alias("entity_type"), F.col("term").alias("canonical_name"), F.lit(None).cast("array<string>").alias("aliases"))
     return named, _edges(at), at("pages")
 
 
 _COVERAGE = (
-    f"{_PHRASES}, {_HITS}, named AS (SELECT 'PER-' || lpad(CAST(item_id AS STRING), 5, '0') AS canonical_id, term AS canonical_name FROM phrases WHERE term <> '' AND length(term) >= 4), "
+    f"{_PHRASES}, {_HITS}, named AS (SELECT 'PER-' || lpad(CAST(pid AS STRING), 5, '0') AS canonical_id, term AS canonical_name FROM phrases WHERE length(term) >= 4), "
     f"incident AS ({_INCIDENT.format(e='relationships')}), docs AS (SELECT source_entity_id AS id, count(DISTINCT doc_key) AS n FROM lines GROUP BY 1), "
     "coverage AS (SELECT canonical_id, canonical_name, m.c AS total_documents_mentioning, coalesce(d.n, 0) AS documents_in_knowledge_graph, coalesce(d.n, 0) / m.c AS coverage_ratio, greatest(0, m.c - coalesce(d.n, 0)) AS unanalyzed_count, coalesce(i.n_edges, 0) AS connections FROM named JOIN (SELECT term, count(DISTINCT doc) AS c FROM hits GROUP BY 1) m ON m.term = canonical_name LEFT JOIN docs d ON d.id = canonical_id LEFT JOIN incident i ON i.id = canonical_id)"
 )
@@ -555,12 +583,22 @@ def document_coverage(at):
     return rows.select("canonical_id", "canonical_name", "total_documents_mentioning", "documents_in_knowledge_graph", F.round("coverage_ratio", 9).alias("coverage_ratio"), "unanalyzed_count", "connections")
 
 
-@query()
+# an item's first sentence names a customer; its other sentences name persons without relationships
+_MET = (
+    f"{_PHRASES}, {_HITS}, named AS (SELECT CASE WHEN pos = 0 THEN 'PER-' || lpad(CAST(item_id AS STRING), 5, '0') ELSE 'NEW-' || CAST(pid AS STRING) END AS id, term FROM phrases WHERE length(term) >= 4), "
+    f"incident AS ({_INCIDENT.format(e='relationships')}), persons AS (SELECT n.id, n.term, coalesce(i.n_edges, 0) AS n_edges FROM named n LEFT JOIN incident i ON i.id = n.id), told AS (SELECT term, count(DISTINCT doc) AS n FROM hits GROUP BY term), "
+    "quiet AS (SELECT p.id FROM persons p JOIN told t USING (term) WHERE t.n > 0 AND p.n_edges < 5 ORDER BY t.n DESC, p.id LIMIT 100), hubs AS (SELECT id FROM persons WHERE n_edges > 0 ORDER BY n_edges DESC, id LIMIT 50), "
+    "open_ AS (SELECT DISTINCT least(q.id, h.id) AS a, greatest(q.id, h.id) AS b FROM quiet q, hubs h WHERE q.id <> h.id AND NOT EXISTS (SELECT 1 FROM relationships r WHERE (r.source_entity_id = q.id AND r.target_entity_id = h.id) OR (r.source_entity_id = h.id AND r.target_entity_id = q.id)))"
+)
+
+
+@query(f", {_MET} SELECT o.a AS source_entity_id, o.b AS target_entity_id, 'co_documented' AS relationship_type, CAST(count(DISTINCT x.doc) AS DOUBLE) AS weight, CAST({config.EDGE_CONFIDENCE['corpus_new']} AS DOUBLE) AS confidence_score FROM open_ o JOIN named m ON m.id = o.a JOIN named n ON n.id = o.b JOIN hits x ON x.term = m.term JOIN hits y ON y.term = n.term AND y.page = x.page GROUP BY 1, 2", "lines", "relationships", "pages")
 def corpus_discovery(at):
-    named, edges, pages = _coverage_parts(at)
-    mentions = corpus.mention_counts(named, edges, pages).withColumn("document_count", F.col("document_count") * 20)
-    few = edges.where("relationship_id % 97 = 0")
-    return corpus.discover(named, mentions, few, pages, min_documents=1).drop("source_documents")
+    first = F.concat(F.lit("PER-"), F.lpad(F.col("item_id").cast("string"), 5, "0"))
+    named = _phrases(at).where(F.length("term") >= 4).select(F.when(F.col("pos") == 0, first).otherwise(F.concat(F.lit("NEW-"), F.col("pid").cast("string"))).alias("canonical_id"), F.lit("person").alias("entity_type"), F.col("term").alias("canonical_name"), F.lit(None).cast("array<string>").alias("aliases"))
+    edges = at("relationships")
+    mentions = corpus.mention_counts(named, edges, at("pages"))
+    return corpus.discover(named, mentions, edges, at("pages"), min_documents=1, min_mentions=0).drop("source_documents")
 
 
 # ---- time -----------------------------------------------------------------------------------------
@@ -594,8 +632,8 @@ _PRIORITY = (
 
 @query(f", {_PRIORITY} SELECT min_by(canonical_id, ord) FILTER (canonical_id IS NOT NULL) AS canonical_id, name AS canonical_name, round(sum(b), 6) AS priority_score, coalesce(string_agg(f, '; ' ORDER BY ord, f), '') AS factors FROM bonus GROUP BY name HAVING count(canonical_id) > 0 AND sum(b) > 0", "lines", "entities", "relationships", "sources", "categories")
 def research_priority(at):
-    entities, edges = at("entities"), _edges(at)
-    weak = evidence.weak(evidence.corroboration(edges, entities, _sources(at)))
+    entities, edges = at("entities"), at("relationships")
+    weak = evidence.weak(evidence.corroboration(edges, entities, _sources(at), at("lines")))
     found = conflicts.entity_categories(at("categories")).join(entities, "canonical_id").withColumnRenamed("canonical_name", "entity_a")
     rows = prioritize.priorities([prioritize.prominence_factor(entities, edges, cleanup.excluded_ids(entities)), prioritize.weak_factor(weak), prioritize.contradiction_factor(found)])
     return rows.withColumn("priority_score", F.round("priority_score", 6))
@@ -611,9 +649,9 @@ def validation_duplicates(at):
     return validate.duplicate_names(_people(at))
 
 
-@query("SELECT canonical_id, canonical_name FROM entities e WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.canonical_id = e.canonical_id)", "entities", "log")
+@query("SELECT canonical_id, canonical_name FROM entities e WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.canonical_id = e.canonical_id AND l.match_method <> 'fuzzy')", "entities", "log")
 def validation_no_log(at):
-    return validate.without_log(at("entities"), at("log")).select("canonical_id", "canonical_name")
+    return validate.without_log(at("entities"), at("log").where("match_method <> 'fuzzy'")).select("canonical_id", "canonical_name")
 
 
 @query("SELECT source_system, match_method, count(*) AS n, round(avg(match_confidence), 3) AS avg_confidence FROM log GROUP BY 1, 2", "log")
