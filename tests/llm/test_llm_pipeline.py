@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
 import corpus_pipeline
 from corroba.llm import queries
@@ -96,3 +98,26 @@ def test_near_copies_with_edited_words_are_one(spark):
     got = sorted(x.doc_id for x in corpus_pipeline.deduplicate(spark, docs, "").collect())
     assert got == sorted({top(i) for i in range(len(texts))})
     assert corpus_pipeline.deduplicate(spark, docs.limit(0), "").count() == 0
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """No documents, no labels, no benchmark; null and repeated ids, null texts, columns with clashing names."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, prose(60, i), "en", "s", 1) for i in range(20)] + [(None, prose(60, 500), None, None, None), (None, None, None, None, None), (3, prose(60, 501), "en", "s", 2), (3, prose(60, 3), "en", "s", 1), (21, "", "", "", 0)]
+    for name, docs in (("odd", rows), ("none", [])):
+        out = str(tmp_path / name)
+        df = spark.createDataFrame(docs, schema)
+        for c in ("row", "fp", "score", "key", "part", "best", "item_id", "spans"):
+            df = df.withColumn(c, F.lit("clash"))
+        df.write.parquet(f"{out}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+        now = spark.read.parquet(f"{out}/documents.parquet")
+        for stage, step in corpus_pipeline.STAGES[:-1]:
+            now = step(spark, now, out)
+            assert now.columns == df.columns, stage
+            assert now.where("`row` <> 'clash' or fp <> 'clash' or best <> 'clash'").count() == 0
+        kept = sorted((r.doc_id is None, r.doc_id or 0) for r in now.collect())
+        assert kept == (sorted([(False, i) for i in range(20)] + [(False, 3), (False, 21), (True, 0)]) if docs else [])
+        packed = corpus_pipeline.STAGES[-1][1](spark, now, out)
+        assert packed.count() == len(kept)
