@@ -7,6 +7,8 @@ Used by ``simhash_dedup.keep_one`` to verify links of the trie join and to find
    small; the sample decides their sizes only, never the result. Buckets of equal members are one.
 2. Candidates of a bucket must pass two bounds that no similar pair fails: the ratio of sizes, and the distance of
    parity sketches, which is never more than the sets' difference. They are verified on the whole sets.
+   A bucket of more than ``PART`` members is compared in tiles, one for each two of its parts, so that no task holds
+   all of it; every pair of members meets in one tile.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ SAMPLE = 8192  # texts that the order of shingles is taken from
 COMMON = 1 << 17  # shingles that the order puts last, the most frequent of the sample
 ROWS = 1 << 17
 PAIRS = 1 << 18  # pairs of a bucket that are compared at a time
+PART = 512  # members from which a bucket is divided into parts, whose pairs of parts are compared in separate tasks
 
 
 def _sets(column: pa.Array):
@@ -208,8 +211,8 @@ def _candidates(turn: str):
     """Pairs (a, b) of different classes of a bucket to verify: for "nearest" each member's closest one, for "all" every one."""
 
     def solve(block: pa.RecordBatch):
-        bucket, fp, n, root = (block.column(k).to_numpy() for k in range(4))
-        sketch = block.column(4).to_pylist()
+        bucket, fp, n, root, part, other = (block.column(k).to_numpy() for k in range(6))
+        sketch = block.column(6).to_pylist()
         edge = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
@@ -235,6 +238,7 @@ def _candidates(turn: str):
             for k in range(at, end, step):
                 i, j = (x.ravel() for x in np.meshgrid(np.arange(k, min(end, k + step)), np.arange(at, end), indexing="ij"))
                 on = (root[i] != root[j]) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
+                on &= (part[i] == other[i]) | (part[i] != part[j])
                 if turn == "all":
                     on &= i < j
                 if on.any():
@@ -249,12 +253,24 @@ def _candidates(turn: str):
     return solve
 
 
-def candidates(members: DataFrame, roots: DataFrame, turn: str) -> DataFrame:
-    """Pairs (a, b) of ``members`` (bucket, fp, n, sketch) that may be similar and are of different ``roots`` (fp, root)."""
-    rows = members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    rows = rows.join(mixed, "bucket", "left_semi")
-    return _by_bucket(rows, ["bucket", "fp", "n", "root", "sketch"], "a bigint, b bigint", _candidates(turn)).distinct()
+def _tiles(rows: DataFrame, part: int) -> DataFrame:
+    """``rows`` of the buckets with several roots; ``bucket`` is the tile (``part``, ``other``) of a bucket of several parts.
+
+    Buckets are told apart by their rows pre-aggregated, and met by their rows part by part.
+    """
+    parts = F.ceil(F.col("members") / part)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("fp"), parts))
+    mixed = rows.groupBy("bucket", "members").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    mixed = mixed.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    rows = rows.join(mixed, ["bucket", "part"], "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    tile = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))
+    return rows.withColumn("bucket", F.when(parts > 1, tile).otherwise(F.col("bucket")))
+
+
+def candidates(members: DataFrame, roots: DataFrame, turn: str, part: int = PART) -> DataFrame:
+    """Pairs (a, b) of ``members`` (bucket, fp, members, n, sketch) that may be similar and are of different ``roots`` (fp, root)."""
+    rows = _tiles(members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), part)
+    return _by_bucket(rows, ["bucket", "fp", "n", "root", "part", "other", "sketch"], "a bigint, b bigint", _candidates(turn)).distinct()
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:

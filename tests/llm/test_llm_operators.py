@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from corroba.llm import _shingle_sets as S
 from corroba.llm import _text as T
 from corroba.llm import decontamination, masked_lm, packing, pii, quality_classifier, quality_rules, secret_scan, simhash_dedup, slot_sharding, token_counts
 
@@ -129,6 +130,30 @@ def test_keep_one_keeps_the_smallest_id_once(spark, odd, empty):
     assert simhash_dedup.keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize("turn", ["nearest", "all"])
+def test_large_buckets_are_compared_in_tiles(spark, turn):
+    """Sets that share a shingle in their prefix, in parts of three members: the pairs of the undivided bucket."""
+    r, base = random.Random(8), prose(80, 55).split()
+    rows = [(k, " ".join(r.choice(WORDS) if r.random() < 0.02 else w for w in base)) for k in range(40)]
+    df = spark.createDataFrame(rows, "row long, text string")
+    sets = S.texts_of(df, ["row"], "text").dropDuplicates(["fp"])
+    members = S.buckets(S.prefixes(df, S.common_shingles(df, len(rows), "text"), "text")).join(sets.select("fp", "n", "sketch"), "fp").cache()
+    assert members.agg(F.max("members")).first()[0] > 6
+    grams = {x.fp: set(x.grams) for x in S.whole_sets(df, "text").collect()}
+    similar = {(a, b) for a in grams for b in grams if a < b and 5 * len(grams[a] & grams[b]) >= 4 * len(grams[a] | grams[b])}
+    fps = sorted(grams)
+    for roots in ([], [(f, fps[0]) for f in fps[: len(fps) // 2]], [(f, fps[0]) for f in fps]):
+        named = spark.createDataFrame(roots, "fp long, root long")
+        of = {f: root for f, root in roots}
+        whole, tiled = ({(x.a, x.b) for x in S.candidates(members, named, turn, part).collect()} for part in (1 << 20, 3))
+        apart = {(a, b) for a, b in similar if of.get(a, a) != of.get(b, b)}
+        if turn == "all":
+            assert tiled == whole and tiled >= apart
+        else:
+            assert tiled >= whole and all(any(f in x for x in tiled) for pair in apart for f in pair)
+    members.unpersist()
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (1001, 1000), (5, 5)], "a long, b long")
