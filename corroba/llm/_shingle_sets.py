@@ -7,6 +7,8 @@ Used by ``simhash_dedup.keep_one`` to verify links of the trie join and to find
    small; the sample decides their sizes only, never the result. Buckets of equal members are one.
 2. Candidates of a bucket must pass two bounds that no similar pair fails: the ratio of sizes, and the distance of
    parity sketches, which is never more than the sets' difference. They are verified on the whole sets.
+   Equal texts of a task send their shingles once. Shingles that ``HOT`` or more texts of the sample hold are dealt
+   by salts, so the members of the bucket of a third of all texts are found by many tasks.
    A bucket of more than ``PART`` members is compared in tiles, one for each two of its parts, so that no task holds
    all of it; every pair of members meets in one tile.
 """
@@ -27,6 +29,8 @@ SAMPLE = 8192  # texts that the order of shingles is taken from
 COMMON = 1 << 17  # shingles that the order puts last, the most frequent of the sample
 ROWS = 1 << 17
 PAIRS = 1 << 18  # pairs of a bucket that are compared at a time
+HOT = 8  # a power of two: texts of the sample from which the members of a shingle's bucket are found by ``SALTS`` tasks
+SALTS = 64
 PART = 512  # members from which a bucket is divided into parts, whose pairs of parts are compared in separate tasks
 
 
@@ -120,12 +124,20 @@ def common_shingles(docs: DataFrame, rows: int, text: str) -> tuple[np.ndarray,
 
 
 def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], text: str) -> DataFrame:
-    """(bucket, fp): the shingles of each text's prefix."""
+    """(bucket, salt, fp): the shingles of each text's prefix, once for the equal texts of a task; the salt is -1 unless the shingle is hot."""
     last, level = common
 
     def make():
+        seen: set[int] = set()
+
         def step(batch: pa.RecordBatch):
             for _, _, h, begin in _sets(batch.column(0)):
+                name = _names(h, begin)
+                first = np.zeros(len(name), bool)
+                for k, x in enumerate(name.tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        first[k] = True
                 size = np.diff(begin)
                 doc = np.repeat(np.arange(len(size)), size)
                 rank = np.zeros(len(h), np.int64)
@@ -133,16 +145,18 @@ def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], text: str)
                     at = np.minimum(np.searchsorted(last, h), len(last) - 1)
                     rank = np.where(last[at] == h, level[at], 0)
                 order = np.lexsort((h, rank, doc))
-                on = np.arange(len(h)) - begin[:-1][doc] < (size - (-(-4 * size // 5)) + 1)[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(h[order][on].view(np.int64)), pa.array(_names(h, begin)[doc[on]].view(np.int64))], ["bucket", "fp"])
+                on = (np.arange(len(h)) - begin[:-1][doc] < (size - (-(-4 * size // 5)) + 1)[doc]) & first[doc]
+                fp, hot = name[doc[on]], rank[order][on] >= HOT.bit_length()
+                salt = np.where(hot, (T.mix(fp) % np.uint64(SALTS)).astype(np.int8), np.int8(-1))
+                yield pa.RecordBatch.from_arrays([pa.array(h[order][on].view(np.int64)), pa.array(salt, pa.int8()), pa.array(fp.view(np.int64))], ["bucket", "salt", "fp"])
 
         return step
 
-    return map_arrow(docs, [text], "bucket bigint, fp bigint", make)
+    return map_arrow(docs, [text], "bucket bigint, salt tinyint, fp bigint", make)
 
 
-def _by_bucket(rows: DataFrame, columns: list[str], schema: str, solve) -> DataFrame:
-    """``solve`` over blocks of whole buckets, as a dict of arrays sorted by bucket."""
+def _by_bucket(rows: DataFrame, columns: list[str], schema: str, solve, keys: int = 1) -> DataFrame:
+    """``solve`` over blocks of whole buckets, sorted by them; the first ``keys`` columns tell buckets apart."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def make():
@@ -162,10 +176,13 @@ def _by_bucket(rows: DataFrame, columns: list[str], schema: str, solve) -> DataF
                 return
             held.append(batch)
             size += batch.num_rows
-            if size >= ROWS and held[0].column(0)[0] != batch.column(0)[-1]:
+            if size >= ROWS and any(held[0].column(k)[0] != batch.column(k)[-1] for k in range(keys)):
                 whole = taken()
-                bucket = whole.column(0).to_numpy()
-                cut = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1
+                other = np.zeros(whole.num_rows, bool)
+                for k in range(keys):
+                    key = whole.column(k).to_numpy()
+                    other |= key != key[-1]
+                cut = int(np.flatnonzero(other)[-1]) + 1
                 held.append(whole.slice(cut))
                 size = whole.num_rows - cut
                 yield from solve(whole.slice(0, cut))
@@ -177,34 +194,41 @@ def _by_bucket(rows: DataFrame, columns: list[str], schema: str, solve) -> DataF
         step.finish = finish
         return step
 
-    return map_arrow(rows.select(*columns).repartition(n, "bucket").sortWithinPartitions("bucket"), columns, schema, make)
+    return map_arrow(rows.select(*columns).repartition(n, *columns[:keys]).sortWithinPartitions(*columns[:keys]), columns, schema, make)
 
 
 def _shared(block: pa.RecordBatch):
-    """(bucket, fp, members, mark) of the buckets with two members or more; each member once."""
-    bucket, fp = (block.column(k).to_numpy() for k in (0, 1))
-    order = np.lexsort((fp, bucket))
-    bucket, fp = bucket[order], fp[order]
-    new = np.ones(len(fp), bool)
-    new[1:] = (bucket[1:] != bucket[:-1]) | (fp[1:] != fp[:-1])
-    bucket, fp = bucket[new], fp[new]
-    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    """(bucket, salt, fp, members, mark) of the buckets with two members or more, each member once; of a hot bucket its salts' parts, of any size."""
+    bucket, salt, fp = (block.column(k).to_numpy() for k in range(3))
+    order = np.lexsort((fp, salt, bucket))
+    bucket, salt, fp = bucket[order], salt[order], fp[order]
+    edge = np.ones(len(fp), bool)
+    edge[1:] = (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])
+    new = edge.copy()
+    new[1:] |= fp[1:] != fp[:-1]
+    bucket, salt, fp, first = bucket[new], salt[new], fp[new], np.flatnonzero(edge[new])
     size = np.diff(np.append(first, len(bucket)))
     mark = np.bitwise_xor.reduceat(T.mix(fp.view(np.uint64)), first).view(np.int64)
     # buckets of equal members are one, here within the task
-    chosen = np.zeros(len(first), bool)
-    many = np.flatnonzero(size > 1)
+    chosen = salt[first] >= 0
+    many = np.flatnonzero((size > 1) & ~chosen)
     chosen[many[np.unique(np.stack([size[many], mark[many]]), axis=1, return_index=True)[1]]] = True
     on = np.repeat(chosen, size)
     if on.any():
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[on], fp[on], np.repeat(size, size)[on], np.repeat(mark, size)[on])], ["bucket", "fp", "members", "mark"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[on], salt[on], fp[on], np.repeat(size, size)[on], np.repeat(mark, size)[on])], ["bucket", "salt", "fp", "members", "mark"])
 
 
 def buckets(prefix_rows: DataFrame) -> DataFrame:
     """(bucket, fp, members): one bucket for each set of two or more texts that share a prefix shingle."""
-    rows = written(_by_bucket(prefix_rows, ["bucket", "fp"], "bucket bigint, fp bigint, members bigint, mark bigint", _shared), "shingle-buckets")
-    one = rows.groupBy("members", "mark").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return rows.drop("mark").join(one, "bucket", "left_semi")
+    key = ["bucket", "salt"]
+    rows = written(_by_bucket(prefix_rows, [*key, "fp"], "bucket bigint, salt tinyint, fp bigint, members bigint, mark bigint", _shared, 2), "shingle-buckets")
+    # the parts of a hot bucket share no member, so its size is their sum and its mark their exclusive or
+    parts = rows.groupBy(*key).agg(F.first("members").alias("members"), F.first("mark").alias("mark"))
+    whole = parts.groupBy("bucket").agg(F.max("salt").alias("salt"), F.sum("members").alias("members"), F.expr("bit_xor(mark)").alias("mark")).where("members > 1")
+    one = whole.groupBy("members", "mark").agg(F.min(F.struct("bucket", "salt")).alias("best"))
+    salts = F.when(F.col("best.salt") < 0, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    one = one.select("best.bucket", "members", F.explode(salts.cast("array<tinyint>")).alias("salt"))
+    return rows.select(*key, "fp").join(one, key).select("bucket", "fp", "members")
 
 
 def _candidates(turn: str):

@@ -154,6 +154,29 @@ def test_large_buckets_are_compared_in_tiles(spark, turn):
     members.unpersist()
 
 
+def test_hot_buckets_are_found_by_salts(spark):
+    """Members of frequent shingles, found in parts, and of rare ones: each set of two or more texts is one bucket."""
+    r, base = random.Random(9), prose(60, 56).split()
+    texts = [" ".join(r.choice(WORDS) if r.random() < 0.02 else w for w in base) for _ in range(150)]
+    texts += [" ".join(base[:30])] * 90 + [t for k in range(6) for t in (prose(50, 300 + k), prose(50, 300 + k) + " tail")]
+    df = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3).cache()
+    common = S.common_shingles(df, len(texts), "text")
+    sent = [tuple(x) for x in S.prefixes(df, common, "text").collect()]
+    assert {x[1] >= 0 for x in sent} == {True, False}
+    assert max(collections.Counter(sent).values()) <= 3  # equal texts send a shingle once in each task
+    held = collections.defaultdict(set)
+    for bucket, _, fp in sent:
+        held[bucket].add(fp)
+    found = collections.defaultdict(list)
+    for x in S.buckets(S.prefixes(df, common, "text")).collect():
+        found[x.bucket].append((x.fp, x.members))
+    assert all(len(v) == len(set(v)) and {m for _, m in v} == {len(v)} for v in found.values())
+    sets = [frozenset(f for f, _ in v) for v in found.values()]
+    assert len(sets) == len(set(sets)) and set(sets) == {frozenset(v) for v in held.values() if len(v) > 1}
+    assert max(map(len, sets)) > 60
+    df.unpersist()
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (1001, 1000), (5, 5)], "a long, b long")
