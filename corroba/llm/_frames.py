@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 import weakref
@@ -63,6 +64,14 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def _give_back() -> None:
+    """Returns freed memory to the machine, which an idle worker would hold while the next stage runs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(
     df: DataFrame,
     columns: list[str],
@@ -71,7 +80,7 @@ def map_arrow(
 ) -> DataFrame:
     """``mapInArrow`` with per-task state: ``make()`` runs once in a task, its result once for each batch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             yield from step(batch)
@@ -79,4 +88,8 @@ def map_arrow(
         if rest is not None:
             yield from rest()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        _give_back()
+
     return df.select(*columns).mapInArrow(run, schema)
