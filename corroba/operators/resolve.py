@@ -55,13 +55,14 @@ def similar_candidates(left: DataFrame, right: DataFrame, cutoff: float = config
     """(key, id, a, b): pairs of sorted names that may reach the cutoff; none that reaches it is missing.
 
     ``left`` has (key, a), ``right`` has (id, b). Pairs meet on an unchanged part, then pass the length and
-    edit bounds; all pairs are never formed.
+    edit bounds; all pairs are never formed. Equal texts of a side meet once, and their rows are joined to what they found.
     """
     t = cutoff / 100.0
     longest = int(1 / ((1 - t) * 2 / t)) + 1
-    parts = right.where("b <> ''").select("id", "b", F.explode(_segments(F.col("b"), cutoff)).alias("part"))
-    probes = left.where("a <> ''").select("key", "a", F.explode(_substrings(F.col("a"), longest)).alias("part"))
-    return probes.join(parts, "part").where(similarity.may_reach(F.col("a"), F.col("b"), cutoff)).select("key", "id", "a", "b").distinct()
+    parts = right.where("b <> ''").select("b").distinct().select("b", F.explode(_segments(F.col("b"), cutoff)).alias("part"))
+    probes = left.where("a <> ''").select("a").distinct().select("a", F.explode(_substrings(F.col("a"), longest)).alias("part"))
+    met = probes.join(parts, "part").where(similarity.may_reach(F.col("a"), F.col("b"), cutoff)).select("a", "b").distinct()
+    return left.select("key", "a").distinct().join(met, "a").join(right.select("id", "b").distinct(), "b").select("key", "id", "a", "b")
 
 
 def fuzzy_match(probes: DataFrame, registry_names: DataFrame, cutoff: float = config.FUZZY_CUTOFF) -> DataFrame:

@@ -355,3 +355,19 @@ def test_metadata_fields(spark):
     assert got == {"a": {"x": 5, "y": True, "roles": {"p": 3, "q": 1}}, "b": {"z": "t"}, "c": {}}
     filled = {r.canonical_id: json.loads(r.metadata) for r in cleanup.with_metadata(entities, added.select("canonical_id", F.get_json_object("fields", "$.x").alias("x")).where("x is not null").select("canonical_id", F.lit('{"x": 5, "y": true}').alias("fields")), fill=True).collect() if r.metadata}
     assert filled == {"a": {"x": 1, "y": True, "roles": {"p": 2}}, "c": {}}
+
+
+def test_equal_names_meet_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return len(x)
+
+    reach = resolve.similarity.may_reach
+    told = F.udf(counted, "int").asNondeterministic()
+    monkeypatch.setattr(resolve.similarity, "may_reach", lambda a, b, cutoff: reach(a, b, cutoff) & (told(a) > 0))
+    left = spark.range(500).select(F.col("id").alias("key"), F.lit("Ada Quist").alias("a"))
+    right = spark.createDataFrame([(1, "Ada Quist"), (2, "Ada Quist"), (3, "Gus Novak")], "id long, b string")
+    assert resolve.similar_candidates(left, right).groupBy("id").count().orderBy("id").collect() == [(1, 500), (2, 500)]
+    assert seen.value < 100
