@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +113,88 @@ def jaccard(graph: DataFrame, pairs: DataFrame) -> DataFrame:
     return out.select(*pairs.columns, n.alias("shared"), F.when(union > 0, n / union).otherwise(0.0).alias("jaccard"))
 
 
+def _routed(bounds: np.ndarray):
+    """Lists (node, near), each to the block of its node and, as a question, to the blocks of its greater neighbours."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, near = batch.column(0).to_numpy(), batch.column(1)
+            values, starts = near.values.to_numpy(), near.offsets.to_numpy()
+            sizes = np.diff(starts)
+            row = np.repeat(np.arange(len(nodes)), sizes)
+            z = values[starts[0] : starts[-1]]
+            asked = z > nodes[row]
+            to = np.unique(row[asked] * (len(bounds) + 1) + np.searchsorted(bounds, z[asked], "right"))
+            rows = np.concatenate([np.arange(len(nodes)), to // (len(bounds) + 1)])
+            block = np.concatenate([np.searchsorted(bounds, nodes, "right"), to % (len(bounds) + 1)])
+            asks = np.arange(len(rows)) >= len(nodes)
+            for at in range(0, len(rows), 4096):
+                part = slice(at, at + 4096)
+                yield pa.RecordBatch.from_arrays([pa.array(block[part].astype("int32")), pa.array(asks[part]), pa.array(nodes[rows[part]]), near.take(pa.array(rows[part]))], names=["block", "asks", "node", "near"])
+
+    return run
+
+
+def _answered(bounds: np.ndarray):
+    """(x, y, shared, jaccard) of questions, which follow the lists of their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, ids = -1, [], None
+        for batch in batches:
+            blocks, asks, nodes, near = (batch.column(i) for i in range(4))
+            blocks, asks, nodes, values, starts = blocks.to_numpy(), asks.to_numpy(zero_copy_only=False), nodes.to_numpy(), near.values.to_numpy(), near.offsets.to_numpy()
+            xs, ys, shared, union = [], [], [], []
+            for i in range(len(nodes)):
+                own = values[starts[i] : starts[i + 1]]
+                if blocks[i] != block:
+                    block, held, ids = blocks[i], [], None
+                if not asks[i]:
+                    held.append((nodes[i], own.copy()))
+                    continue
+                if ids is None:  # all lists of the block are here
+                    held.sort(key=lambda e: e[0])
+                    ids, sizes = np.array([e[0] for e in held]), np.array([len(e[1]) for e in held])
+                    every = np.concatenate([e[1] for e in held])
+                    columns, every = np.unique(every, return_inverse=True)
+                    ends = np.cumsum(sizes)
+                    mark, held = np.zeros(len(columns), bool), []
+                own = np.sort(own)
+                y = own[(own > nodes[i]) & (np.searchsorted(bounds, own, "right") == block)]
+                place = np.minimum(np.searchsorted(columns, own), len(columns) - 1)
+                place = place[columns[place] == own]
+                mark[place] = True
+                at = np.searchsorted(ids, y)
+                n, upto = sizes[at], np.cumsum(sizes[at])
+                index = np.repeat(ends[at] - upto, n) + np.arange(upto[-1])
+                both = np.add.reduceat(mark[every[index]], upto - n, dtype=np.int64)
+                mark[place] = False
+                xs.append(np.full(len(y), nodes[i]))
+                ys.append(y)
+                shared.append(both)
+                union.append(n + len(own) - both)
+            if xs:
+                x, y, both, n = (np.concatenate(c) for c in (xs, ys, shared, union))
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(both), pa.array(both / n)], names=["x", "y", "shared", "jaccard"])
+
+    return run
+
+
+def edge_jaccard(graph: DataFrame, materialise, entries: int = 4_000_000) -> DataFrame:
+    """(x, y, shared, jaccard) for the ends x < y of every edge of a simple graph whose nodes are whole numbers (long).
+
+    Nodes fall into blocks of neighbouring numbers, with about ``entries`` neighbours in a block. A node's neighbours go
+    once to each block that holds some of them, so pairs of edges are never rows: they are counted where the lists meet.
+    ``materialise`` writes a frame and returns it read again.
+    """
+    near = materialise(neighbours(graph).groupBy("node").agg(F.collect_list("neighbour").alias("near")))
+    blocks = -(-(near.agg(F.sum(F.size("near"))).first()[0] or 1) // entries)
+    cuts = [i / blocks for i in range(1, blocks)]
+    bounds = np.unique(np.array(near.agg(F.percentile_approx("node", cuts, 10_000)).first()[0] or [] if cuts else [], dtype="int64"))
+    rows = near.mapInArrow(_routed(bounds), "block int, asks boolean, node long, near array<long>")
+    rows = rows.repartition(len(bounds) + 1, "block").sortWithinPartitions("block", "asks")
+    return rows.mapInArrow(_answered(bounds), "x long, y long, shared long, jaccard double")
+
+
 def hub_pairs_without_edge(entities: DataFrame, hubs: DataFrame, edges: DataFrame) -> DataFrame:
     """(canonical_id, hub_id) of two bounded sets that no edge of any type connects."""
     pairs = entities.select("canonical_id").crossJoin(F.broadcast(hubs.select(F.col("canonical_id").alias("hub_id")))).where("canonical_id <> hub_id")
