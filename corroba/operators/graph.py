@@ -234,3 +234,124 @@ def community_bridges(graph: DataFrame, labels: DataFrame, min_communities: int
     near = neighbours(graph).join(labels.select(F.col("node").alias("neighbour"), "community"), "neighbour")
     out = near.groupBy("node").agg(F.count_distinct("community").alias("communities_connected"), F.count("*").alias("degree"))
     return out.where(F.col("communities_connected") >= min_communities).withColumn("bridge_score", F.col("communities_connected") * F.col("degree"))
+
+
+class NeighbourLists:
+    """A simple graph with whole numbers (long) for nodes, as one list of neighbours a node, in blocks of nodes.
+
+    What a round needs of the neighbours goes once to each block that has some of them, so edges are neither joined nor
+    grouped again. ``name`` is the node's text, whose digest says in which rounds it moves. ``materialise`` writes a frame
+    and returns it read again.
+    """
+
+    def __init__(self, graph: DataFrame, materialise, name: Column, entries: int = 4_000_000):
+        ends = lambda x, y: F.struct(F.col(x).alias("node"), F.struct(F.col(y).alias("z"), "weight").alias("e"))
+        near = graph.select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("r")).select("r.*").groupBy("node").agg(F.collect_list("e").alias("e"))
+        even = F.substring(F.md5(name.cast("binary")), 32, 1).isin(*"02468ace")
+        near = materialise(near.repartitionByRange("node").sortWithinPartitions("node").select("node", F.col("e.z").alias("near"), F.col("e.weight").alias("weights"), even.alias("even")))
+        self.materialise = materialise
+        self.size, blocks = near.agg(F.count("*"), F.ceil(F.coalesce(F.sum(F.size("near")), F.lit(0)) / entries)).first()
+        cuts = [i / blocks for i in range(1, blocks)]
+        self.bounds = sorted(set(near.agg(F.percentile_approx("node", cuts, 10_000)).first()[0])) if cuts else []
+        block = F.size(F.filter(F.array(*(F.lit(x) for x in self.bounds)), lambda x: x <= F.col("node"))) if self.bounds else F.lit(0)
+        self.lists = near.withColumn("block", block)
+        self.need = materialise(near.mapInArrow(_needed(np.array(self.bounds, dtype="int64")), "block int, node long").distinct())
+
+    def strengths(self) -> DataFrame:
+        return self.lists.select("node", F.aggregate("weights", F.lit(0.0), lambda x, y: x + y).alias("k"))
+
+    def meet(self, state: DataFrame, answer, schema: str) -> DataFrame:
+        """``answer`` on each node's list and the ``state`` (node, k, community, held) of the node and its neighbours."""
+        told = self.need.join(state, "node").select("block", F.lit(False).alias("listed"), "node", "k", "community", "held")
+        rows = told.unionByName(self.lists.withColumn("listed", F.lit(True)), allowMissingColumns=True).select("block", "listed", "node", "k", "community", "held", "near", "weights", "even")
+        rows = rows.repartition(len(self.bounds) + 1, "block").sortWithinPartitions("block", "listed")
+        return rows.mapInArrow(_met(answer, schema.replace(",", " ").split()[::2]), schema)
+
+
+def _needed(bounds: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, near = batch.column("node").to_numpy(), batch.column("near")
+            starts = near.offsets.to_numpy()
+            block = np.searchsorted(bounds, nodes, "right")
+            where, z = np.concatenate([np.repeat(block, np.diff(starts)), block]), np.concatenate([near.values.to_numpy()[starts[0] : starts[-1]], nodes])
+            for b in np.unique(block):
+                found = np.unique(z[where == b])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), b, "int32")), pa.array(found)], names=["block", "node"])
+
+    return run
+
+
+def _met(answer, columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, state = -1, [], None
+        for batch in batches:
+            blocks, listed = batch.column("block").to_numpy(), batch.column("listed").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(blocks) != 0) | (listed[1:] != listed[:-1])) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
+                part = batch.slice(start, end - start)
+                if blocks[start] != block:
+                    block, held, state = blocks[start], [], None
+                if not listed[start]:
+                    held.append([part.column(c).to_numpy() for c in ("node", "k", "community", "held")])
+                    continue
+                if state is None:  # all of the block's states are here
+                    state = [np.concatenate(c) for c in zip(*held, strict=True)]
+                    order = np.argsort(state[0])
+                    state, held = [c[order] for c in state], []
+                near, weights = part.column("near"), part.column("weights")
+                starts = near.offsets.to_numpy()
+                z, w = near.values.to_numpy()[starts[0] : starts[-1]], weights.values.to_numpy()[weights.offsets[0].as_py() : weights.offsets[-1].as_py()]
+                nodes = part.column("node").to_numpy()
+                out = answer(nodes, part.column("even").to_numpy(zero_copy_only=False), np.diff(starts), np.searchsorted(state[0], nodes), np.searchsorted(state[0], z), w, *state[1:])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=columns)
+
+    return run
+
+
+def _moving(total: float, turn: int):
+    """A node's community after a round: the best by gain, then the smallest, where it is the node's turn."""
+
+    def answer(nodes, even, sizes, own, at, weights, k, community, held):
+        n = len(nodes)
+        row, at, w = np.concatenate([np.repeat(np.arange(n), sizes), np.arange(n)]), np.concatenate([at, own]), np.concatenate([weights, np.zeros(n)])
+        order = np.lexsort((community[at], row))
+        row, at, w = row[order], at[order], w[order]
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (community[at[1:]] != community[at[:-1]])])
+        row, at, w = row[first], at[first], np.add.reduceat(w, first)
+        mine = k[own][row]
+        gain = w - mine * (held[at] - np.where(community[at] == community[own][row], mine, 0.0)) / total
+        order = np.lexsort((community[at], -gain, row))
+        best = community[at[order[np.flatnonzero(np.r_[True, row[order][1:] != row[order][:-1]])]]]
+        return nodes, k[own], np.where(even == (turn % 2 == 0), best, community[own])
+
+    return answer
+
+
+def _bridging(nodes, even, sizes, own, at, weights, k, community, held):
+    n = len(nodes)
+    pairs = np.repeat(np.arange(n), sizes), community[at]
+    order = np.lexsort((pairs[1], pairs[0]))
+    row, c = pairs[0][order], pairs[1][order]
+    fresh = np.r_[True, (row[1:] != row[:-1]) | (c[1:] != c[:-1])]
+    return nodes, np.bincount(row[fresh], minlength=n), sizes.astype("int64")
+
+
+def _with_held(labels: DataFrame) -> DataFrame:
+    return labels.join(labels.groupBy("community").agg(F.sum("k").alias("held")), "community")
+
+
+def list_communities(lists: NeighbourLists, rounds: int = 10) -> DataFrame:
+    """(node, k, community): the rounds of ``communities`` over neighbour lists."""
+    strength = lists.strengths()
+    total = strength.agg(F.sum("k")).first()[0] or 0.0
+    labels = lists.materialise(strength.select("node", "k", F.col("node").alias("community")))
+    for turn in range(rounds):
+        labels = lists.materialise(lists.meet(_with_held(labels), _moving(total, turn), "node long, k double, community long"))
+    return labels
+
+
+def list_bridges(lists: NeighbourLists, labels: DataFrame, min_communities: int = 2) -> DataFrame:
+    """``community_bridges`` over neighbour lists."""
+    out = lists.meet(labels.withColumn("held", F.lit(0.0)), _bridging, "node long, communities_connected long, degree long")
+    return out.where(F.col("communities_connected") >= min_communities).withColumn("bridge_score", F.col("communities_connected") * F.col("degree"))

@@ -17,3 +17,27 @@ def test_edge_jaccard_over_blocks(spark, written):
     for entries in (300, 100_000):
         assert sorted(tuple(r) for r in graph.edge_jaccard(g, written, entries).collect()) == want
     assert graph.edge_jaccard(g.where("false"), written).count() == 0
+
+
+def _rings(spark):
+    rng = random.Random(6)
+    edges = sorted({tuple(sorted((i, (i // 20 * 20 + rng.randrange(20)) if rng.random() < 0.8 else rng.randrange(200)))) for i in range(200) for _ in range(6)})
+    return spark.createDataFrame([(a, b, float((a * b) % 5 + 1)) for a, b in edges if a != b], "a long, b long, weight double")
+
+
+def test_communities_over_blocks(spark, written):
+    g = _rings(spark)
+    want = sorted(tuple(r) for r in graph.communities(g, materialise=written).collect())
+    for entries in (150, 100_000):
+        lists = graph.NeighbourLists(g, written, F.col("node").cast("string"), entries)
+        assert (len(lists.bounds) > 5) == (entries == 150)
+        assert sorted(tuple(r) for r in graph.list_communities(lists).select("node", "community").collect()) == want
+
+
+def test_bridges_over_blocks(spark, written):
+    g = _rings(spark)
+    lists = graph.NeighbourLists(g, written, F.col("node").cast("string"), 150)
+    labels = graph.list_communities(lists)
+    want = sorted(tuple(r) for r in graph.community_bridges(g, labels).select("node", "communities_connected", "degree", "bridge_score").collect())
+    assert want
+    assert sorted(tuple(r) for r in graph.list_bridges(lists, labels).collect()) == want
