@@ -120,23 +120,32 @@ def graph_documents(edges: DataFrame) -> DataFrame:
 
 def coverage(entities: DataFrame, mentions: DataFrame, edges: DataFrame) -> DataFrame:
     """Mentions against documents in the graph; the ratio may exceed 1, as the sets are not intersected."""
-    joined = mentions.join(graph.with_incident_edges(entities, edges), "canonical_id").join(graph_documents(edges), "canonical_id", "left")
+    return _covered(graph.with_incident_edges(entities, edges), mentions, edges)
+
+
+def _covered(entities: DataFrame, mentions: DataFrame, edges: DataFrame) -> DataFrame:
+    """``coverage`` of entities that have their ``n_edges``."""
+    joined = mentions.join(entities, "canonical_id").join(graph_documents(edges), "canonical_id", "left")
     n = F.coalesce("documents_in_graph", F.lit(0))
     return joined.select("canonical_id", "canonical_name", F.col("search_term").alias("search_term_used"), F.col("document_count").alias("total_documents_mentioning"), n.alias("documents_in_knowledge_graph"), (n / F.col("document_count")).alias("coverage_ratio"), F.greatest(F.lit(0), F.col("document_count") - n).alias("unanalyzed_count"), F.col("n_edges").alias("connections"))
 
 
-def coverage_extracted(entities: DataFrame, extracted: DataFrame, edges: DataFrame) -> DataFrame:
-    """Fallback by pre-extracted names (pos, entity_value, document_count): equal lower-case names, the last row of a name counts."""
+def coverage_extracted(entities: DataFrame, extracted: DataFrame, edges: DataFrame, every: bool = False) -> DataFrame:
+    """Fallback by pre-extracted names (pos, entity_value, document_count): equal lower-case names, the last row of a name counts.
+
+    Of an id's names the one in most documents counts; with ``every`` each name found gives a row.
+    """
     known = extracted.where("document_count > 0").groupBy(F.lower("entity_value").alias("form")).agg(F.max_by("document_count", "pos").alias("document_count"))
     names = search_names(entities.where("entity_type = 'person'"), 1)
-    best = best_search_term(names, names.select("term").distinct().join(known, F.lower("term") == F.col("form")).select("term", "document_count"))
-    return coverage(entities, best, edges).withColumn("connections", F.lit(0))
+    counts = names.select("term").distinct().join(known, F.lower("term") == F.col("form")).select("term", "document_count")
+    found = names.select("canonical_id", F.col("term").alias("search_term")).distinct().join(counts.withColumnRenamed("term", "search_term"), "search_term") if every else best_search_term(names, counts)
+    return _covered(entities.withColumn("n_edges", F.lit(0)), found, edges)
 
 
-def coverage_any(entities: DataFrame, edges: DataFrame, pages: DataFrame | None, extracted: DataFrame | None, top_n: int = 2000) -> DataFrame:
-    """By the corpus if there is one, or else by extracted names."""
+def coverage_any(entities: DataFrame, edges: DataFrame, pages: DataFrame | None, extracted: DataFrame | None, top_n: int = 2000, every: bool = False) -> DataFrame:
+    """By the corpus if there is one, or else by extracted names (``every`` as there)."""
     if pages is not None:
         return coverage(entities, mention_counts(entities, edges, pages, top_n), edges)
     if extracted is None:
         raise ValueError("coverage needs pages or extracted names")
-    return coverage_extracted(entities, extracted, edges)
+    return coverage_extracted(entities, extracted, edges, every)
