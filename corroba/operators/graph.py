@@ -245,10 +245,12 @@ class NeighbourLists:
     """
 
     def __init__(self, graph: DataFrame, materialise, name: Column, entries: int = 4_000_000):
-        ends = lambda x, y: F.struct(F.col(x).alias("node"), F.struct(F.col(y).alias("z"), "weight").alias("e"))
-        near = graph.select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("r")).select("r.*").groupBy("node").agg(F.collect_list("e").alias("e"))
+        ends = lambda x, y: F.struct(F.col(x).alias("node"), F.col(y).alias("z"), "weight")
+        ends = materialise(graph).select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("r")).select("r.*")
+        # grouped where the ranges put them: one shuffle, of flat rows
+        near = ends.repartitionByRange("node").groupBy("node").agg(F.collect_list(F.struct("z", "weight")).alias("e"))
         even = F.substring(F.md5(name.cast("binary")), 32, 1).isin(*"02468ace")
-        near = materialise(near.repartitionByRange("node").sortWithinPartitions("node").select("node", F.col("e.z").alias("near"), F.col("e.weight").alias("weights"), even.alias("even")))
+        near = materialise(near.sortWithinPartitions("node").select("node", F.col("e.z").alias("near"), F.col("e.weight").alias("weights"), even.alias("even")))
         self.materialise = materialise
         self.size, blocks = near.agg(F.count("*"), F.ceil(F.coalesce(F.sum(F.size("near")), F.lit(0)) / entries)).first()
         cuts = [i / blocks for i in range(1, blocks)]
@@ -309,20 +311,27 @@ def _met(answer, columns: list[str]):
     return run
 
 
+def _by_row(row, community, at):
+    """The stable order by row, then by the community at ``at``: one sort of one number for both."""
+    known, rank = np.unique(community, return_inverse=True)
+    return np.argsort(row * len(known) + rank[at], kind="stable")
+
+
 def _moving(total: float, turn: int):
     """A node's community after a round: the best by gain, then the smallest, where it is the node's turn."""
 
     def answer(nodes, even, sizes, own, at, weights, k, community, held):
         n = len(nodes)
         row, at, w = np.concatenate([np.repeat(np.arange(n), sizes), np.arange(n)]), np.concatenate([at, own]), np.concatenate([weights, np.zeros(n)])
-        order = np.lexsort((community[at], row))
+        order = _by_row(row, community, at)
         row, at, w = row[order], at[order], w[order]
         first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (community[at[1:]] != community[at[:-1]])])
         row, at, w = row[first], at[first], np.add.reduceat(w, first)
         mine = k[own][row]
         gain = w - mine * (held[at] - np.where(community[at] == community[own][row], mine, 0.0)) / total
-        order = np.lexsort((community[at], -gain, row))
-        best = community[at[order[np.flatnonzero(np.r_[True, row[order][1:] != row[order][:-1]])]]]
+        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        top = np.flatnonzero(gain == np.repeat(np.maximum.reduceat(gain, starts), np.diff(np.r_[starts, len(row)])))
+        best = community[at[top[np.r_[True, row[top][1:] != row[top][:-1]]]]]  # communities ascend within a row
         return nodes, k[own], np.where(even == (turn % 2 == 0), best, community[own])
 
     return answer
@@ -331,7 +340,7 @@ def _moving(total: float, turn: int):
 def _bridging(nodes, even, sizes, own, at, weights, k, community, held):
     n = len(nodes)
     pairs = np.repeat(np.arange(n), sizes), community[at]
-    order = np.lexsort((pairs[1], pairs[0]))
+    order = _by_row(pairs[0], community, at)
     row, c = pairs[0][order], pairs[1][order]
     fresh = np.r_[True, (row[1:] != row[:-1]) | (c[1:] != c[:-1])]
     return nodes, np.bincount(row[fresh], minlength=n), sizes.astype("int64")

@@ -1,9 +1,12 @@
 import itertools
 import random
+import re
+import time
 
 from pyspark.sql import functions as F
 
 from corroba.operators import graph
+from corroba.plans import queries as engine
 
 
 def test_edge_jaccard_over_blocks(spark, written):
@@ -41,3 +44,17 @@ def test_bridges_over_blocks(spark, written):
     want = sorted(tuple(r) for r in graph.community_bridges(g, labels).select("node", "communities_connected", "degree", "bridge_score").collect())
     assert want
     assert sorted(tuple(r) for r in graph.list_bridges(lists, labels).collect()) == want
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: set(re.findall(r"shuffle_(\d+)_", disk.getAllFiles().mkString(" ")))
+    before = shuffles()
+    counts = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    out = engine._written(counts)
+    for _ in range(50):  # they go in the background
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before
+    assert out.where("count = 100").count() == 10
