@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -239,111 +240,300 @@ def community_bridges(graph: DataFrame, labels: DataFrame, min_communities: int
 class NeighbourLists:
     """A simple graph with whole numbers (long) for nodes, as one list of neighbours a node, in blocks of nodes.
 
-    What a round needs of the neighbours goes once to each block that has some of them, so edges are neither joined nor
-    grouped again. ``name`` is the node's text, whose digest says in which rounds it moves. ``materialise`` writes a frame
-    and returns it read again.
+    ``parts`` makes the lists, of a graph (a, b, weight) or of mentions. A list names neighbours by their places among the
+    nodes that its block needs. Lists stay as bytes, and what a round needs of the neighbours goes once to each block that
+    has some of them, so edges are never rows. ``name`` is the node's text, whose digest says in which rounds it moves.
+    ``materialise`` writes a frame and returns it read again.
     """
 
-    def __init__(self, graph: DataFrame, materialise, name: Column, entries: int = 4_000_000):
-        ends = lambda x, y: F.struct(F.col(x).alias("node"), F.col(y).alias("z"), "weight")
-        ends = materialise(graph).select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("r")).select("r.*")
-        # grouped where the ranges put them: one shuffle, of flat rows
-        near = ends.repartitionByRange("node").groupBy("node").agg(F.collect_list(F.struct("z", "weight")).alias("e"))
-        even = F.substring(F.md5(name.cast("binary")), 32, 1).isin(*"02468ace")
-        near = materialise(near.sortWithinPartitions("node").select("node", F.col("e.z").alias("near"), F.col("e.weight").alias("weights"), even.alias("even")))
+    def __init__(self, graph: DataFrame, materialise, name: Column, entries: int = 2_000_000, parts=None):
         self.materialise = materialise
-        self.size, blocks = near.agg(F.count("*"), F.ceil(F.coalesce(F.sum(F.size("near")), F.lit(0)) / entries)).first()
-        cuts = [i / blocks for i in range(1, blocks)]
-        self.bounds = sorted(set(near.agg(F.percentile_approx("node", cuts, 10_000)).first()[0])) if cuts else []
-        block = F.size(F.filter(F.array(*(F.lit(x) for x in self.bounds)), lambda x: x <= F.col("node"))) if self.bounds else F.lit(0)
-        self.lists = near.withColumn("block", block)
-        self.need = materialise(near.mapInArrow(_needed(np.array(self.bounds, dtype="int64")), "block int, node long").distinct())
+        self.bounds, rows = (edge_parts if parts is None else parts)(graph, materialise, entries)
+        even = F.when(F.col("listed"), F.substring(F.md5(name.cast("binary")), 32, 1).isin(*"02468ace"))
+        rows = materialise(rows.withColumn("even", even))
+        self.lists, self.need = rows.where("listed"), materialise(rows.where("not listed").select("block", "listed", "node"))
 
     def strengths(self) -> DataFrame:
-        return self.lists.select("node", F.aggregate("weights", F.lit(0.0), lambda x, y: x + y).alias("k"))
+        return self.lists.select("node", "k", "even")
+
+    def meet(self, state: DataFrame, answer, schema: str, even: bool | None = None) -> DataFrame:
+        """``answer`` on the lists, or on those of one digest, and the ``state`` (node, community, held) of their nodes and neighbours."""
+        told = self.need.join(state.select("node", "community", "held"), "node")
+        rows = self.lists if even is None else self.lists.where(F.col("even") == even)
+        rows = told.unionByName(rows.select("block", "listed", "node", "k", "near", "weights"), allowMissingColumns=True)
+        return rows.repartitionById(len(self.bounds) + 1, "block").mapInArrow(_met(answer, schema.replace(",", " ").split()[::2]), schema)
+
+
+_PART = "block int, listed boolean, node long, k double, near binary, weights binary"
 
-    def meet(self, state: DataFrame, answer, schema: str) -> DataFrame:
-        """``answer`` on each node's list and the ``state`` (node, k, community, held) of the node and its neighbours."""
-        told = self.need.join(state, "node").select("block", F.lit(False).alias("listed"), "node", "k", "community", "held")
-        rows = told.unionByName(self.lists.withColumn("listed", F.lit(True)), allowMissingColumns=True).select("block", "listed", "node", "k", "community", "held", "near", "weights", "even")
-        rows = rows.repartition(len(self.bounds) + 1, "block").sortWithinPartitions("block", "listed")
-        return rows.mapInArrow(_met(answer, schema.replace(",", " ").split()[::2]), schema)
 
+def _bounds(entries_at, low: int | None, high: int | None, total: int | None, entries: int) -> np.ndarray:
+    """First nodes of all blocks but one. ``entries_at(edges)`` counts entries by ranges of nodes that begin at ``edges``: (at, n)."""
+    if not total or total <= entries:
+        return np.array([], dtype="int64")
+    edges, last, parts = np.array([low]), np.array([high + 1]), 65_536
+    heavy = np.array([True])
+    while heavy.any():  # ranges with more than a block are divided again, down to single nodes
+        cut = [np.arange(a, b, -(-(b - a) // parts)) if h else np.array([a]) for a, b, h in zip(edges.tolist(), last.tolist(), heavy, strict=True)]
+        edges, last = np.concatenate(cut), np.r_[np.concatenate(cut)[1:], high + 1]
+        n = np.zeros(len(edges), dtype="int64")
+        for at, count in entries_at(edges).collect():
+            n[at] = count
+        heavy = (n > entries) & (last - edges > 1)
+        parts = max(2, 65_536 // max(1, int(heavy.sum())))
+    block = (np.cumsum(n) - n) // entries
+    return edges[np.flatnonzero(block[1:] != block[:-1]) + 1]
+
+
+def _counted(edges: np.ndarray, read):
+    """(at, n) of the nodes and counts that ``read`` finds in a batch."""
 
-def _needed(bounds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(edges), dtype="int64")
+        for batch in batches:
+            for nodes, n in read(batch):
+                total += np.bincount(np.searchsorted(edges, nodes, "right") - 1, n, len(edges)).astype("int64")
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    return run
+
+
+def _entries_at(df: DataFrame, read):
+    return lambda edges: df.mapInArrow(_counted(edges, read), "at long, n long").groupBy("at").agg(F.sum("n"))
+
+
+def edge_parts(graph: DataFrame, materialise, entries: int) -> tuple[np.ndarray, DataFrame]:
+    """Bounds of blocks, and lists and needed nodes of the edges of a simple graph."""
+    ends = lambda x, y: F.struct(F.col(x).alias("node"), F.col(y).alias("z"), F.col("weight").cast("double"))
+    ends = materialise(graph).select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("r")).select("r.*")
+    count = _entries_at(ends.select("node"), lambda batch: [(batch.column(0).to_numpy(), None)])
+    bounds = _bounds(count, *ends.agg(F.min("node"), F.max("node"), F.count("*")).first(), entries)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, near = batch.column("node").to_numpy(), batch.column("near")
-            starts = near.offsets.to_numpy()
+            block = np.searchsorted(bounds, batch.column(0).to_numpy(), "right").astype("int32")
+            yield pa.RecordBatch.from_arrays([pa.array(block), *batch.columns], names=["block", "node", "z", "weight"])
+
+    rows = ends.mapInArrow(placed, "block int, node long, z long, weight double").repartitionById(len(bounds) + 1, "block")
+    return bounds, rows.mapInArrow(_edges_listed, _PART)
+
+
+def mention_parts(mentions: DataFrame, materialise, entries: int, doc: Column, node: Column) -> tuple[np.ndarray, DataFrame]:
+    """As ``edge_parts``, of the graph whose edges weigh how many ``mentions`` (part, of: long) of two nodes share a doc.
+
+    ``doc`` is made of the part, ``node`` of ``of``; equal mentions count once. A doc's nodes go once to each block that holds
+    some of them, and become pairs there.
+    """
+    docs = mentions.select("part", "of").repartition(doc).select(doc.alias("doc"), "part", "of").sortWithinPartitions("doc")
+    docs = docs.select("doc", "part", "of", node.alias("node")).mapInArrow(_docs, "low long, high long, entries long, nodes binary, sizes binary")
+    docs = materialise(docs)
+    count = _entries_at(docs.select("nodes", "sizes"), lambda batch: ((nodes, np.repeat(sizes - 1, sizes)) for nodes, sizes in _groups([batch])))
+    bounds = _bounds(count, *docs.agg(F.min("low"), F.max("high"), F.sum("entries")).first(), entries)
+    rows = docs.select("nodes", "sizes").mapInArrow(_docs_routed(bounds), "block int, nodes binary, sizes binary")
+    return bounds, rows.repartitionById(len(bounds) + 1, "block").mapInArrow(_docs_listed(bounds), _PART)
+
+
+def _bytes(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values: ``values`` cut at ``ends``, which count from its first."""
+    offsets = np.r_[0, ends] * values.itemsize
+    kind, width = (pa.binary(), "int32") if offsets[-1] < 1 << 31 else (pa.large_binary(), "int64")
+    return pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(offsets.astype(width)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of binary values, one after another, and their lengths."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], "int64")[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", "uint8")[at[0] : at[-1]], np.diff(at)
+
+
+def _gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs that begin at ``starts``, one after another."""
+    upto = np.cumsum(sizes)
+    return np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for nodes, sizes in zip(batch.column("nodes"), batch.column("sizes"), strict=True):
+            yield np.frombuffer(nodes.as_buffer(), "int64"), np.frombuffer(sizes.as_buffer(), "int64")
+
+
+def _docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of docs of two mentions or more, a few hundred thousand a row, from mentions by doc."""
+
+    def made(rows):
+        at = np.cumsum(np.r_[False, rows[0, 1:] != rows[0, :-1]])
+        low, span = int(rows[2].min()), int(rows[2].max()) - int(rows[2].min()) + 1
+        one = ((rows[1, 1:] == rows[1, :-1]) | (at[1:] != at[:-1])).all()  # a part a doc
+        if one and span * (int(at[-1]) + 1) < 1 << 62:
+            order = _order(at * span + (rows[2] - low), span * (int(at[-1]) + 1))
+        else:
+            order = np.lexsort((rows[2], rows[1], at))
+        rows = rows[:, order]
+        fresh = np.r_[True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]
+        doc, nodes = rows[0, fresh], rows[3, fresh]
+        sizes = np.diff(np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)])
+        nodes, sizes = nodes[np.repeat(sizes > 1, sizes)], sizes[sizes > 1]
+        if len(sizes):
+            values = [int(nodes.min()), int(nodes.max()), int((sizes * (sizes - 1)).sum()), nodes.tobytes(), sizes.tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=["low", "high", "entries", "nodes", "sizes"])
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(np.stack([c.to_numpy() for c in batch.columns]))
+        n += held[-1].shape[1]
+        if n >= 250_000:
+            rows = np.concatenate(held, axis=1)
+            cut = np.searchsorted(rows[0], rows[0, -1])  # the last doc may go on
+            if cut:
+                yield from made(rows[:, :cut])
+            held, n = [rows[:, cut:]], 0
+    if held:
+        yield from made(np.concatenate(held, axis=1))
+
+
+def _docs_routed(bounds: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, sizes in _groups(batches):
             block = np.searchsorted(bounds, nodes, "right")
-            where, z = np.concatenate([np.repeat(block, np.diff(starts)), block]), np.concatenate([near.values.to_numpy()[starts[0] : starts[-1]], nodes])
-            for b in np.unique(block):
-                found = np.unique(z[where == b])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), b, "int32")), pa.array(found)], names=["block", "node"])
+            to = np.unique(block * len(sizes) + np.repeat(np.arange(len(sizes)), sizes))
+            block, doc = to // len(sizes), to % len(sizes)
+            first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            starts = np.cumsum(sizes) - sizes
+            moved, ends = nodes[_gathered(starts[doc], sizes[doc])], np.cumsum(sizes[doc])
+            last = np.r_[first[1:], len(to)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[first].astype("int32")), _bytes(moved, ends[last - 1]), _bytes(sizes[doc], last)], names=["block", "nodes", "sizes"])
 
     return run
 
 
+def _docs_listed(bounds: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = 0, []
+        for batch in batches:
+            block = batch.column("block")[0].as_py()
+            held.extend((nodes.copy(), sizes.copy()) for nodes, sizes in _groups([batch]))
+        if not held:
+            return
+        nodes, sizes = (np.concatenate(c) for c in zip(*held, strict=True))
+        need, place = np.unique(nodes, return_inverse=True)
+        own = np.flatnonzero(np.searchsorted(bounds, need, "right") == block)
+        first, end = own[0], own[-1] + 1
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        ours = np.flatnonzero((place >= first) & (place < end))
+        n = sizes[doc[ours]]
+        key = np.repeat(place[ours] * len(need), n)
+        key += place[_gathered((np.cumsum(sizes) - sizes)[doc[ours]], n)]
+        del doc, ours, n, nodes, sizes, place
+        key = np.sort(key[key // len(need) != key % len(need)])
+        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        yield from _parts(block, need, key[at], np.diff(np.r_[at, len(key)]).astype("float64"))
+
+    return run
+
+
+def _edges_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = list(batches)
+    if sum(b.num_rows for b in held):
+        table = pa.Table.from_batches(held)
+        node, z, w = (table.column(c).to_numpy() for c in ("node", "z", "weight"))
+        need, place = np.unique(np.concatenate([node, z]), return_inverse=True)
+        key = place[: len(node)] * len(need) + place[len(node) :]
+        order = np.argsort(key)
+        yield from _parts(table.column("block")[0].as_py(), need, key[order], w[order])
+
+
+def _parts(block: int, need: np.ndarray, key: np.ndarray, w: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Lists and needed nodes of a block, from ascending pairs of places (node's * count + neighbour's) and their weights."""
+    if not len(key):
+        return
+    own, near = key // len(need), key % len(need)
+    used = np.zeros(len(need), bool)
+    used[own] = used[near] = True
+    near = (np.cumsum(used) - 1)[near].astype("int32")
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    nodes, k, ends = need[own[first]], np.add.reduceat(w, first), np.r_[first[1:], len(own)]
+    if (small := w.astype("uint8")).astype("float64").tobytes() == w.tobytes():  # most weights are small counts
+        w = small
+    for i in range(0, len(nodes), 4096):
+        e = ends[i : i + 4096]
+        part = slice(first[i], e[-1])
+        n, cut = len(e), e - first[i]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, "int32")), pa.array(np.ones(n, bool)), pa.array(nodes[i : i + 4096]), pa.array(k[i : i + 4096]), _bytes(near[part], cut), _bytes(w[part], cut)], names=["block", "listed", "node", "k", "near", "weights"])
+    z = need[used]
+    none = lambda kind: pa.nulls(len(z), kind)
+    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(z), block, "int32")), pa.array(np.zeros(len(z), bool)), pa.array(z), none(pa.float64()), none(pa.binary()), none(pa.binary())], names=["block", "listed", "node", "k", "near", "weights"])
+
+
 def _met(answer, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, state = -1, [], None
+        told, lists = [], []
         for batch in batches:
-            blocks, listed = batch.column("block").to_numpy(), batch.column("listed").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((np.diff(blocks) != 0) | (listed[1:] != listed[:-1])) + 1
-            for start, end in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
-                part = batch.slice(start, end - start)
-                if blocks[start] != block:
-                    block, held, state = blocks[start], [], None
-                if not listed[start]:
-                    held.append([part.column(c).to_numpy() for c in ("node", "k", "community", "held")])
-                    continue
-                if state is None:  # all of the block's states are here
-                    state = [np.concatenate(c) for c in zip(*held, strict=True)]
-                    order = np.argsort(state[0])
-                    state, held = [c[order] for c in state], []
-                near, weights = part.column("near"), part.column("weights")
-                starts = near.offsets.to_numpy()
-                z, w = near.values.to_numpy()[starts[0] : starts[-1]], weights.values.to_numpy()[weights.offsets[0].as_py() : weights.offsets[-1].as_py()]
-                nodes = part.column("node").to_numpy()
-                out = answer(nodes, part.column("even").to_numpy(zero_copy_only=False), np.diff(starts), np.searchsorted(state[0], nodes), np.searchsorted(state[0], z), w, *state[1:])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=columns)
+            listed = batch.column("listed")
+            lists.append(batch.filter(listed).select(["node", "k", "near", "weights"]))
+            batch = batch.filter(pc.invert(listed))
+            told.append([batch.column(c).to_numpy() for c in ("node", "community", "held")])
+        if not told:
+            return
+        node, community, held = (np.concatenate(c) for c in zip(*told, strict=True))
+        order = np.argsort(node)
+        node = node[order]
+        known, first, rank = np.unique(community[order], return_index=True, return_inverse=True)
+        held = held[order][first]
+        for part in lists:
+            if part.num_rows:
+                nodes, k, (near, sizes), (weights, _) = part.column("node").to_numpy(), part.column("k").to_numpy(), _values(part.column("near")), _values(part.column("weights"))
+                near, sizes = near.view("int32"), sizes // 4
+                weights = weights if len(weights) == len(near) else weights.view("float64")
+                ends, own, out = np.cumsum(sizes), rank[np.searchsorted(node, nodes)], []
+                cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(65_536, ends[-1], 65_536)), len(nodes)])
+                for i, j in zip(cuts[:-1], cuts[1:], strict=True):  # what fits a core's cache
+                    at = slice(ends[i] - sizes[i], ends[j - 1])
+                    out.append(answer(nodes[i:j], k[i:j], sizes[i:j], own[i:j], rank[near[at]], weights[at], known, held))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=columns)
 
     return run
 
 
-def _by_row(row, community, at):
-    """The stable order by row, then by the community at ``at``: one sort of one number for both."""
-    known, rank = np.unique(community, return_inverse=True)
-    return np.argsort(row * len(known) + rank[at], kind="stable")
+def _order(key: np.ndarray, limit: int) -> np.ndarray:
+    """The stable order of keys from 0 to below ``limit``: where it fits, one sort of numbers that hold key and place."""
+    bits = len(key).bit_length()
+    if limit.bit_length() + bits < 64:
+        return np.sort((key << bits) | np.arange(len(key))) & ((1 << bits) - 1)
+    return np.argsort(key, kind="stable")
+
+
+def _summed(key: np.ndarray, w: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys below ``limit``, ascending, and the sums of their weights in the order given."""
+    order = _order(key, limit)
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], np.add.reduceat(w[order], first)
 
 
-def _moving(total: float, turn: int):
-    """A node's community after a round: the best by gain, then the smallest, where it is the node's turn."""
+def _moving(total: float):
+    """A node's best community by gain, then the smallest."""
 
-    def answer(nodes, even, sizes, own, at, weights, k, community, held):
-        n = len(nodes)
-        row, at, w = np.concatenate([np.repeat(np.arange(n), sizes), np.arange(n)]), np.concatenate([at, own]), np.concatenate([weights, np.zeros(n)])
-        order = _by_row(row, community, at)
-        row, at, w = row[order], at[order], w[order]
-        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (community[at[1:]] != community[at[:-1]])])
-        row, at, w = row[first], at[first], np.add.reduceat(w, first)
-        mine = k[own][row]
-        gain = w - mine * (held[at] - np.where(community[at] == community[own][row], mine, 0.0)) / total
+    def answer(nodes, k, sizes, own, near, weights, known, held):
+        n, m = len(nodes), len(known)
+        rows = np.arange(n) * m
+        key, w = _summed(np.concatenate([np.repeat(rows, sizes) + near, rows + own]), np.concatenate([weights, np.zeros(n)]), n * m)
+        row, c = key // m, key % m
+        mine = k[row]
+        gain = w - mine * (held[c] - np.where(c == own[row], mine, 0.0)) / total
         starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         top = np.flatnonzero(gain == np.repeat(np.maximum.reduceat(gain, starts), np.diff(np.r_[starts, len(row)])))
-        best = community[at[top[np.r_[True, row[top][1:] != row[top][:-1]]]]]  # communities ascend within a row
-        return nodes, k[own], np.where(even == (turn % 2 == 0), best, community[own])
+        return nodes, k, known[c[top[np.r_[True, row[top][1:] != row[top][:-1]]]]]  # communities ascend within a row
 
     return answer
 
 
-def _bridging(nodes, even, sizes, own, at, weights, k, community, held):
-    n = len(nodes)
-    pairs = np.repeat(np.arange(n), sizes), community[at]
-    order = _by_row(pairs[0], community, at)
-    row, c = pairs[0][order], pairs[1][order]
-    fresh = np.r_[True, (row[1:] != row[:-1]) | (c[1:] != c[:-1])]
-    return nodes, np.bincount(row[fresh], minlength=n), sizes.astype("int64")
+def _bridging(nodes, k, sizes, own, near, weights, known, held):
+    n, m = len(nodes), len(known)
+    key = np.sort(np.repeat(np.arange(n) * m, sizes) + near)
+    return nodes, np.bincount(key[np.r_[True, key[1:] != key[:-1]]] // m, minlength=n), sizes
 
 
 def _with_held(labels: DataFrame) -> DataFrame:
@@ -351,12 +541,13 @@ def _with_held(labels: DataFrame) -> DataFrame:
 
 
 def list_communities(lists: NeighbourLists, rounds: int = 10) -> DataFrame:
-    """(node, k, community): the rounds of ``communities`` over neighbour lists."""
-    strength = lists.strengths()
-    total = strength.agg(F.sum("k")).first()[0] or 0.0
-    labels = lists.materialise(strength.select("node", "k", F.col("node").alias("community")))
+    """(node, k, even, community): the rounds of ``communities`` over neighbour lists."""
+    labels = lists.materialise(lists.strengths().withColumn("community", F.col("node")))
+    total = labels.agg(F.sum("k")).first()[0] or 0.0
     for turn in range(rounds):
-        labels = lists.materialise(lists.meet(_with_held(labels), _moving(total, turn), "node long, k double, community long"))
+        even = turn % 2 == 0  # only the lists of nodes that may move are read
+        moved = lists.meet(_with_held(labels), _moving(total), "node long, k double, community long", even)
+        labels = lists.materialise(moved.withColumn("even", F.lit(even)).unionByName(labels.where(F.col("even") != even)))
     return labels
 
 

@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 import time
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -58,3 +59,30 @@ def test_written_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert shuffles() <= before
     assert out.where("count = 100").count() == 10
+
+
+def test_lists_of_mentions_without_pairs_as_rows(spark, written):
+    rng = random.Random(7)
+    # long keys are cut like the ids made of them, so docs and items may meet; lines repeat, and one order names one part only
+    lines = [(rng.choice([0, 10**8]) * 12 + rng.randrange(40) + 10**7, rng.randrange(90)) for _ in range(300)]
+    lines += [(12 * 10**7, 5), (12 * 10**8, 5), (12 * 10**8, 7), (3, 1000), (4, 10**9 + 4), (4, 10**9 + 7), (4, 8), (None, 3), (7, None)]
+    lines += lines[:40]
+    mentions = {(str(o).rjust(8, "0")[:8], o, p, int(str(p)[:9])) for o, p in lines if o is not None and p is not None}
+    pairs: dict[tuple[int, int], float] = {}
+    for x, y in itertools.product(mentions, mentions):
+        if x[0] == y[0] and x[3] < y[3]:
+            pairs[x[3], y[3]] = pairs.get((x[3], y[3]), 0.0) + 1.0
+    g = spark.createDataFrame([(a, b, w) for (a, b), w in pairs.items()], "a long, b long, weight double")
+    rows = spark.createDataFrame(lines, "l_orderkey long, l_partkey long")
+    lists = engine._item_lists({"lineitem": rows}.__getitem__)
+    name = engine._item("node")
+    want = graph.NeighbourLists(g, written, name)
+    known = lambda x: sorted((r.node, r.k, r.even) for r in x.strengths().collect())
+    assert known(lists) == known(want) and 1000 not in {n for n, _, _ in known(lists)}
+    labels = lambda x: sorted((r.node, r.community) for r in graph.list_communities(x).collect())
+    assert labels(lists) == labels(want)
+    parts = partial(graph.mention_parts, doc=F.substring(F.lpad(F.col("part").cast("string"), 8, "0"), 1, 8).cast("long"), node=F.substring(F.col("of").cast("string"), 1, 9).cast("long"))
+    small = graph.NeighbourLists(rows.dropna().toDF("part", "of"), written, name, 200, parts=parts)
+    assert len(small.bounds) > 3 and labels(small) == labels(want)
+    none = engine._item_lists({"lineitem": rows.where("false")}.__getitem__)
+    assert graph.list_bridges(none, graph.list_communities(none, 2)).count() == 0
