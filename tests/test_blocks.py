@@ -86,3 +86,23 @@ def test_lists_of_mentions_without_pairs_as_rows(spark, written):
     assert len(small.bounds) > 3 and labels(small) == labels(want)
     none = engine._item_lists({"lineitem": rows.where("false")}.__getitem__)
     assert graph.list_bridges(none, graph.list_communities(none, 2)).count() == 0
+
+
+def test_bridges_take_no_pairs_from_the_loader(spark):
+    orders = [(o, p) for o in range(40) for p in {o % 9, o * 7 % 11, o * 5 % 13}]
+    asked = []
+
+    def at(name):
+        asked.append(name)
+        return {"lineitem": spark.createDataFrame(orders, "l_orderkey long, l_partkey long")}[name]
+
+    weights: dict[tuple[int, int], float] = {}
+    for o in range(40):
+        for pair in itertools.combinations(sorted(p for x, p in orders if x == o), 2):
+            weights[pair] = weights.get(pair, 0.0) + 1.0
+    g = spark.createDataFrame([(a, b, w) for (a, b), w in weights.items()], "a long, b long, weight double")
+    lists = graph.NeighbourLists(g, engine._written, engine._item("node"))
+    item = "concat('ITM-', lpad(cast(node as string), 9, '0')) AS node"
+    want = graph.community_bridges(g, graph.list_communities(lists)).selectExpr(item, "communities_connected", "degree", "bridge_score")
+    got = engine.community_bridges(at).select("node", "communities_connected", "degree", "bridge_score")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and asked == ["lineitem"]
